@@ -14,56 +14,105 @@ from casepulse.functions import round4
 SERIES_KEY = ("indicator", "metric", "granularity")
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_BIGINT, _INT, _DOUBLE = T.LongType(), T.IntegerType(), T.DoubleType()
+_STRING, _BOOLEAN, _DATE, _TIMESTAMP = T.StringType(), T.BooleanType(), T.DateType(), T.TimestampType()
 
 
+def _schema(required: dict[str, T.DataType], optional: dict[str, T.DataType], *order: str) -> T.StructType:
+    """A schema from NOT NULL and nullable columns, in that order unless one is given."""
+    names = order or (*required, *optional)
+    return T.StructType([T.StructField(n, (required | optional)[n], n not in required) for n in names])
+
+
+_SERIES_COLUMNS = {"indicator": _STRING, "metric": _STRING, "granularity": _STRING}
+
 CASES = _schema(
-    "case_id BIGINT NOT NULL, indicator STRING, start_date DATE, stop_date DATE, "
-    "end_date DATE, deadline DATE, agg_deadline DATE, on_time INT, duration DOUBLE"
-)
-MILESTONES = _schema("case_id BIGINT NOT NULL, milestone STRING, milestone_ts TIMESTAMP")
-SERIES = _schema(
-    "indicator STRING NOT NULL, metric STRING NOT NULL, granularity STRING NOT NULL, "
-    "period INT NOT NULL, value DOUBLE"
+    {"case_id": _BIGINT},
+    {
+        "indicator": _STRING,
+        "start_date": _DATE,
+        "stop_date": _DATE,
+        "end_date": _DATE,
+        "deadline": _DATE,
+        "agg_deadline": _DATE,
+        "on_time": _INT,
+        "duration": _DOUBLE,
+    },
 )
+MILESTONES = _schema({"case_id": _BIGINT}, {"milestone": _STRING, "milestone_ts": _TIMESTAMP})
+SERIES = _schema({**_SERIES_COLUMNS, "period": _INT}, {"value": _DOUBLE})
 INDICATOR_CONFIG = _schema(
-    "indikator STRING NOT NULL, target INT NOT NULL, "
-    "target_red DOUBLE NOT NULL, target_amber DOUBLE NOT NULL"
+    {"indikator": _STRING, "target": _INT, "target_red": _DOUBLE, "target_amber": _DOUBLE}, {}
 )
-ALERT_CONFIG = _schema("indikator STRING, terskel_amber DOUBLE, aktiv BOOLEAN")
+ALERT_CONFIG = _schema({}, {"indikator": _STRING, "terskel_amber": _DOUBLE, "aktiv": _BOOLEAN})
+
+
+def _result(required: dict[str, T.DataType], optional: dict[str, T.DataType], *order: str) -> T.StructType:
+    stamped = T.StructType(
+        [T.StructField("computed_at", _TIMESTAMP, False), T.StructField("batch_id", _STRING, False)]
+    )
+    return T.StructType([*_schema(required, optional, *order), *stamped])
+
 
 # Names, order and types of the result tables are the contract with their readers.
-_STAMP = ", computed_at TIMESTAMP NOT NULL, batch_id STRING NOT NULL"
 RESULTS: dict[str, T.StructType] = {
-    "cusum_results": _schema(
-        "indicator STRING NOT NULL, metric STRING NOT NULL, granularity STRING NOT NULL, "
-        "period INT NOT NULL, value DOUBLE, cusum_pos DOUBLE, cusum_neg DOUBLE, "
-        "signal BOOLEAN NOT NULL, signal_direction STRING" + _STAMP
+    "cusum_results": _result(
+        {**_SERIES_COLUMNS, "period": _INT, "signal": _BOOLEAN},
+        {"value": _DOUBLE, "cusum_pos": _DOUBLE, "cusum_neg": _DOUBLE, "signal_direction": _STRING},
+        *_SERIES_COLUMNS,
+        *("period", "value", "cusum_pos", "cusum_neg", "signal", "signal_direction"),
     ),
-    "changepoint_results": _schema(
-        "indicator STRING NOT NULL, metric STRING NOT NULL, granularity STRING NOT NULL, "
-        "changepoint_period INT NOT NULL, mean_before DOUBLE, mean_after DOUBLE, "
-        "shift_magnitude DOUBLE, shift_direction STRING, n_obs_before INT, n_obs_after INT" + _STAMP
+    "changepoint_results": _result(
+        {**_SERIES_COLUMNS, "changepoint_period": _INT},
+        {
+            "mean_before": _DOUBLE,
+            "mean_after": _DOUBLE,
+            "shift_magnitude": _DOUBLE,
+            "shift_direction": _STRING,
+            "n_obs_before": _INT,
+            "n_obs_after": _INT,
+        },
     ),
-    "cohort_results": _schema(
-        "indicator STRING NOT NULL, cohort_period INT NOT NULL, cohort_size INT NOT NULL, "
-        "weeks_since_intake INT NOT NULL, open_count INT NOT NULL, pct_open DOUBLE NOT NULL, "
-        "pct_open_historical DOUBLE, delta_historical DOUBLE, is_recent_cohort BOOLEAN NOT NULL" + _STAMP
+    "cohort_results": _result(
+        {
+            "indicator": _STRING,
+            "cohort_period": _INT,
+            "cohort_size": _INT,
+            "weeks_since_intake": _INT,
+            "open_count": _INT,
+            "pct_open": _DOUBLE,
+            "is_recent_cohort": _BOOLEAN,
+        },
+        {"pct_open_historical": _DOUBLE, "delta_historical": _DOUBLE},
+        *("indicator", "cohort_period", "cohort_size", "weeks_since_intake", "open_count"),
+        *("pct_open", "pct_open_historical", "delta_historical", "is_recent_cohort"),
     ),
-    "ewma_results": _schema(
-        "indicator STRING NOT NULL, metric STRING NOT NULL, period INT NOT NULL, value_raw DOUBLE, "
-        "ewma_slow DOUBLE, ewma_fast DOUBLE, ewma_slope_slow DOUBLE, ewma_slope_fast DOUBLE, "
-        "trend_direction STRING" + _STAMP
+    "ewma_results": _result(
+        {"indicator": _STRING, "metric": _STRING, "period": _INT},
+        {
+            "value_raw": _DOUBLE,
+            "ewma_slow": _DOUBLE,
+            "ewma_fast": _DOUBLE,
+            "ewma_slope_slow": _DOUBLE,
+            "ewma_slope_fast": _DOUBLE,
+            "trend_direction": _STRING,
+        },
     ),
-    "portefolje_snapshot": _schema(
-        "snapshot_month DATE NOT NULL, indikator STRING NOT NULL, open_total INT NOT NULL, "
-        "open_workable INT NOT NULL, open_paused INT NOT NULL, open_mini_hearing INT NOT NULL, "
-        "tidligbehandling_count INT NOT NULL" + _STAMP
+    "portefolje_snapshot": _result(
+        {
+            "snapshot_month": _DATE,
+            "indikator": _STRING,
+            "open_total": _INT,
+            "open_workable": _INT,
+            "open_paused": _INT,
+            "open_mini_hearing": _INT,
+            "tidligbehandling_count": _INT,
+        },
+        {},
     ),
-    "projection_results": _schema(
-        "indikator STRING NOT NULL, period INT NOT NULL, type STRING NOT NULL, verdi DOUBLE, "
-        "ci_lower DOUBLE, ci_upper DOUBLE, year_end_estimate DOUBLE" + _STAMP
+    "projection_results": _result(
+        {"indikator": _STRING, "period": _INT, "type": _STRING},
+        {"verdi": _DOUBLE, "ci_lower": _DOUBLE, "ci_upper": _DOUBLE, "year_end_estimate": _DOUBLE},
     ),
 }
 

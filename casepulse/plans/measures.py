@@ -77,20 +77,26 @@ def portfolio_shares(snapshots: DataFrame, by: Sequence[str] = ("snapshot_month"
 
 
 def early_share(snapshots: DataFrame, cases: DataFrame) -> DataFrame:
-    """Early-processed cases of each snapshot month as a share of the cases received in it."""
-    intake = (
-        cases.where(F.col("start_date").isNotNull())
-        .groupBy(F.last_day("start_date").alias("snapshot_month"))
-        .agg(F.count("*").alias("received"))
+    """Early-processed cases of each snapshot month as a share of the cases received in it.
+
+    Both counts are added up per month over one union, so no join is needed and only
+    per-task month totals are shuffled.
+    """
+    early = snapshots.select(
+        F.last_day("snapshot_month").alias("snapshot_month"),
+        F.col("tidligbehandling_count").alias("early"),
+        F.lit(0).alias("received"),
     )
-    early = snapshots.groupBy(F.last_day("snapshot_month").alias("snapshot_month")).agg(
-        F.sum("tidligbehandling_count").alias("early")
+    intake = cases.where(F.col("start_date").isNotNull()).select(
+        F.last_day("start_date").alias("snapshot_month"),
+        F.lit(None).cast("int").alias("early"),
+        F.lit(1).alias("received"),
     )
-    return early.join(intake, "snapshot_month", "left").select(
-        "snapshot_month",
-        "early",
-        "received",
-        F.try_divide(F.col("early").cast("double"), F.col("received")).alias("andel_tidligbehandling"),
+    months = early.unionByName(intake).groupBy("snapshot_month")
+    return (
+        months.agg(F.sum("early").alias("early"), F.sum("received").alias("received"))
+        .where(F.col("early").isNotNull())
+        .withColumn("andel_tidligbehandling", F.try_divide(F.col("early").cast("double"), F.col("received")))
     )
 
 

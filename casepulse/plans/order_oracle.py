@@ -31,7 +31,7 @@ def r4(x: str) -> str:
 
 def display(x: str, digits: int) -> str:
     """Half up on the decimal digits of a double, as the reports round."""
-    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(28, 12)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 20)), {digits}) AS DOUBLE)"
 
 
 def chain(*parts: tuple[str, str], select: str) -> str:

@@ -86,10 +86,10 @@ def metric_series(
 
     Buckets without a case are absent, not zero.
     """
-    day = F.coalesce("stop_date", "start_date")
+    tests = {spec.metric: _row_test(spec.metric, start_year) for spec in specs}
+    day = F.coalesce("stop_date", "start_date") if "prod_diff" in tests else F.col("stop_date")
     bucket = {"monthly": month_period(day), "weekly": week_period(day, week_style)}
     grains = sorted({spec.granularity for spec in specs})
-    tests = {spec.metric: _row_test(spec.metric, start_year) for spec in specs}
 
     # Each measure is (numerator, denominator, number of cases behind it).
     with_deadline = F.count_if(tests["frist_pct"]) if "frist_pct" in tests else None

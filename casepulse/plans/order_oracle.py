@@ -1,8 +1,9 @@
 """DuckDB SQL for the registered queries, written another way than the operators.
 
-Recursions are recursive CTEs, cohorts are counted case by case and week by week, the
-latest milestone comes from ``row_number`` and three joins, and trimming slices sorted
-lists. Every query reads the whole tables.
+Recursions are recursive CTEs, segment costs come from two-dimensional prefix sums of the
+kernel, cohorts are counted case by case and week by week, the latest milestone comes from
+``row_number`` and three joins, and trimming slices sorted lists. Every query reads the
+whole tables.
 """
 
 from __future__ import annotations
@@ -289,35 +290,135 @@ FROM cusum c JOIN (SELECT metric, granularity, MAX(period) AS latest_period
   ON c.metric = m.metric AND c.granularity = m.granularity AND c.period = m.latest_period
 GROUP BY ALL"""
     ),
-    "shift_stats": chain(
-        CASES,
-        _series(_DRIFT),
-        (
-            "vectors",
-            f"""
-  SELECT {_KEY}, list(value ORDER BY period) AS x, list(period ORDER BY period) AS periods
-  FROM series GROUP BY {_KEY}""",
-        ),
-        (
-            "cuts",
-            f"""
-  SELECT {_KEY}, x, periods, bp, lag(bp, 1, 0) OVER (PARTITION BY {_KEY} ORDER BY bp) AS prev
-  FROM (SELECT *, unnest({list(BREAKS)}) AS bp FROM vectors) WHERE bp < len(x)""",
-        ),
-        (
-            "sides",
-            f"""
+}
+
+
+# --------------------------------------------------------------------------- changepoints
+
+_SHIFTS = (
+    (
+        "sides",
+        f"""
   SELECT {_KEY}, periods[bp + 1] AS changepoint_period,
          list_avg(x[prev + 1:bp]) AS before, list_avg(x[bp + 1:]) AS after,
          CAST(bp - prev AS INTEGER) AS n_obs_before, CAST(len(x) - bp AS INTEGER) AS n_obs_after
-  FROM cuts""",
-        ),
-        select=f"""
-SELECT {_KEY}, changepoint_period, {r4('before')} AS mean_before, {r4('after')} AS mean_after,
-       {r4('(after - before)')} AS shift_magnitude,
-       CASE WHEN after - before > 0 THEN 'OPP' ELSE 'NED' END AS shift_direction,
-       n_obs_before, n_obs_after
-FROM sides WHERE n_obs_before >= 3 AND n_obs_after >= 3""",
+  FROM (SELECT *, lag(bp, 1, 0) OVER (PARTITION BY {_KEY} ORDER BY bp) AS prev FROM cuts)""",
+    ),
+    (
+        "shifts",
+        f"""
+  SELECT {_KEY}, changepoint_period, {r4('before')} AS mean_before, {r4('after')} AS mean_after,
+         {r4('(after - before)')} AS shift_magnitude,
+         CASE WHEN after - before > 0 THEN 'OPP' ELSE 'NED' END AS shift_direction,
+         n_obs_before, n_obs_after
+  FROM sides WHERE n_obs_before >= 3 AND n_obs_after >= 3""",
+    ),
+)
+_VECTORS = (
+    "vectors",
+    f"""
+  SELECT {_KEY}, list(value ORDER BY period) AS x, list(period ORDER BY period) AS periods
+  FROM series GROUP BY {_KEY}""",
+)
+_SEARCH = (
+    (
+        "long_series",
+        """
+  SELECT *, row_number() OVER () AS id, len(x) AS n,
+         ln(len(x)) * list_aggregate(x, 'var_pop') AS beta
+  FROM vectors WHERE len(x) >= CASE granularity WHEN 'monthly' THEN 24 ELSE 52 END""",
+    ),
+    ("points", "SELECT id, unnest(x) AS v, unnest(range(1, n + 1)) AS i FROM long_series"),
+    (
+        "pairs",
+        "SELECT a.id, a.i, b.i AS j, (a.v - b.v) * (a.v - b.v) AS gap FROM points a JOIN points b ON a.id = b.id",
+    ),
+    (
+        "scales",
+        """
+  SELECT id, CASE WHEN median(gap) > 0 THEN 1 / median(gap) ELSE 1e0 END AS gamma
+  FROM pairs WHERE i < j GROUP BY id""",
+    ),
+    (
+        "row_sums",
+        """
+  SELECT p.id, p.i, p.j, SUM(exp(-s.gamma * p.gap)) OVER (PARTITION BY p.id, p.i ORDER BY p.j) AS k
+  FROM pairs p JOIN scales s ON s.id = p.id""",
+    ),
+    (
+        "corners",
+        """
+  SELECT id, i AS s, j AS t, SUM(k) OVER (PARTITION BY id, j ORDER BY i) AS area FROM row_sums
+  UNION ALL SELECT id, 0, i, 0e0 FROM points
+  UNION ALL SELECT id, 0, 0, 0e0 FROM long_series""",
+    ),
+    (
+        "costs",
+        """
+  SELECT c.id, c.t, list(c.s ORDER BY c.s) AS starts,
+         list((c.t - c.s) - (e.area - 2 * c.area + b.area) / (c.t - c.s) + l.beta ORDER BY c.s) AS cost
+  FROM corners c
+  JOIN corners b ON b.id = c.id AND b.s = c.s AND b.t = c.s
+  JOIN corners e ON e.id = c.id AND e.s = c.t AND e.t = c.t
+  JOIN long_series l ON l.id = c.id
+  WHERE c.t - c.s >= 6 AND (c.s = 0 OR c.s >= 6)
+  GROUP BY c.id, c.t""",
+    ),
+    (
+        "best",
+        """
+  SELECT id, CAST(5 AS BIGINT) AS t,
+         [0e0, NULL, NULL, NULL, NULL, NULL] AS f, CAST([0, 0, 0, 0, 0, 0] AS BIGINT[]) AS origin
+  FROM long_series
+  UNION ALL
+  SELECT id, t, list_append(f, list_min(total)),
+         list_append(origin, CAST(starts[list_position(total, list_min(total))] AS BIGINT))
+  FROM (
+    SELECT b.id, c.t, b.f, b.origin, c.starts,
+           list_transform(c.cost, lambda q, place: b.f[c.starts[place] + 1] + q) AS total
+    FROM best b JOIN costs c ON c.id = b.id AND c.t = b.t + 1)""",
+    ),
+    (
+        "trail",
+        """
+  SELECT b.id, b.origin, b.origin[l.n + 1] AS bp FROM best b JOIN long_series l ON l.id = b.id AND l.n = b.t
+  UNION ALL
+  SELECT id, origin, origin[bp + 1] FROM trail WHERE bp > 0""",
+    ),
+    (
+        "cuts",
+        f"SELECT {_KEY}, x, periods, bp FROM trail JOIN long_series USING (id) WHERE bp > 0",
+    ),
+)
+
+
+def _search_sql(select: str) -> str:
+    return chain(CASES, _series(_DRIFT), _VECTORS, *_SEARCH, *_SHIFTS, select=select)
+
+
+ORACLE |= {
+    "shift_stats": chain(
+        CASES,
+        _series(_DRIFT),
+        _VECTORS,
+        ("cuts", f"SELECT * FROM (SELECT *, unnest({list(BREAKS)}) AS bp FROM vectors) WHERE bp < len(x)"),
+        *_SHIFTS,
+        select="SELECT * FROM shifts",
+    ),
+    "changepoints": _search_sql(
+        f"SELECT {_KEY}, CAST(bp AS INTEGER) AS bp, periods[bp + 1] AS period FROM cuts"
+    ),
+    "changepoint_shifts": _search_sql("SELECT * FROM shifts"),
+    "largest_shifts": _search_sql(
+        f"""
+SELECT {_KEY}, changepoint_period, {display('mean_before', 3)} AS before,
+       {display('mean_after', 3)} AS after, {display('shift_magnitude', 3)} AS change, shift_direction
+FROM shifts ORDER BY abs(shift_magnitude) DESC, {_KEY}, changepoint_period LIMIT 50"""
+    ),
+    "latest_changepoint": _search_sql(
+        f"""
+SELECT {_KEY}, changepoint_period AS latest_changepoint_period, shift_magnitude
+FROM shifts QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY changepoint_period DESC) = 1"""
     ),
 }
 

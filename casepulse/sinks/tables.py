@@ -6,6 +6,8 @@ overwrite, so readers never see it half gone and a rerun after a lost job is saf
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +58,18 @@ def overwrite(df: DataFrame, table: str, schema: T.StructType, *, fmt: str = "pa
     conform(df, schema).write.mode("overwrite").format(fmt).saveAsTable(table)
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Overwrite only the partitions written to; ``insertInto`` takes this from the session alone."""
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def replace_partition(
     df: DataFrame, table: str, schema: T.StructType, partition: T.StructField, value: date | int
 ) -> None:
@@ -74,12 +88,8 @@ def replace_partition(
         return set(spark.table(table).where(F.col(partition.name) == F.lit(value)).inputFiles())
 
     before = files()
-    (
-        rows.select(*spark.table(table).columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
-    )
+    with _dynamic_overwrite(spark):
+        rows.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
     if before & files():
         literal = f"DATE '{value}'" if isinstance(value, date) else str(value)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{partition.name}` = {literal})")

@@ -40,7 +40,8 @@ def order_cases(spark: SparkSession, folder: str, as_of: date) -> DataFrame:
 
     Line items are folded to the set of their ship dates per order before the join, with
     map-side combine: one shuffle per table, and an order with very many line items weighs
-    no more than the number of different days.
+    no more than the number of different days. Both tables are large, so the join is asked
+    to merge rather than left to an estimate that might broadcast one.
     """
     ordered = F.col("o_orderdate").cast("date")
     shipped = F.col("l_shipdate").cast("date")
@@ -62,7 +63,7 @@ def order_cases(spark: SparkSession, folder: str, as_of: date) -> DataFrame:
     since_start = F.filter("ship_dates", lambda day: day >= F.col("start_date"))
     deadline = F.date_add("start_date", _days_allowed(F.col("indicator")))
     return (
-        orders.join(shipments, "case_id", "left")
+        orders.join(shipments.hint("merge"), "case_id", "left")
         .select("case_id", "indicator", "start_date", F.array_min(since_start).alias("stop_date"))
         .withColumn("deadline", deadline)
         .select(

@@ -35,9 +35,15 @@ def display(x: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 20)), {digits}) AS DOUBLE)"
 
 
+#: Subqueries a recursion or several others read, kept instead of computed anew each time.
+_KEPT_ONCE = {"costs", "cuts", "shifts"}
+
+
 def chain(*parts: tuple[str, str], select: str) -> str:
     """One statement from named subqueries."""
-    named = ",\n".join(f"{name} AS (\n{body}\n)" for name, body in parts)
+    named = ",\n".join(
+        f"{name} AS {'MATERIALIZED ' if name in _KEPT_ONCE else ''}(\n{body}\n)" for name, body in parts
+    )
     return f"WITH RECURSIVE {named}\n{select}"
 
 

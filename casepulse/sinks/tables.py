@@ -23,6 +23,16 @@ PARTITIONED_BY: dict[str, T.StructField] = {
 }
 
 
+COMMENTS: dict[str, str] = {
+    "cusum_results": "Drift of each series; signal marks periods beyond the threshold, OPP up, NED down.",
+    "changepoint_results": "Level shifts of each series, with the means on both sides.",
+    "cohort_results": "Share of each intake month still open, week by week, against its history.",
+    "ewma_results": "Monthly series smoothed at two speeds, with the direction of the slow one.",
+    "portefolje_snapshot": "Open cases per indicator at each month end, by milestone state.",
+    "projection_results": "On-time rate of the year so far (actual) and its expected course (forecast).",
+}
+
+
 def create_database(spark: SparkSession, database: str) -> None:
     """Create the database unless it is there."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
@@ -50,12 +60,26 @@ def create_table(
 
 def result_table(spark: SparkSession, name: str, *, table: str | None = None, fmt: str = "parquet") -> None:
     """Declare one of the result tables, under its own name or another."""
-    create_table(spark, table or name, RESULTS[name], fmt=fmt, partition=PARTITIONED_BY.get(name))
+    create_table(
+        spark,
+        table or name,
+        RESULTS[name],
+        fmt=fmt,
+        partition=PARTITIONED_BY.get(name),
+        comment=COMMENTS[name],
+    )
 
 
 def overwrite(df: DataFrame, table: str, schema: T.StructType, *, fmt: str = "parquet") -> None:
-    """Replace a whole table, also by nothing: results that no longer hold must not stay."""
-    conform(df, schema).write.mode("overwrite").format(fmt).saveAsTable(table)
+    """Replace a whole table, also by nothing: results that no longer hold must not stay.
+
+    A table declared before keeps its declaration; otherwise the write creates it.
+    """
+    rows, spark = conform(df, schema), df.sparkSession
+    if spark.catalog.tableExists(table):
+        rows.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+    else:
+        rows.write.mode("overwrite").format(fmt).saveAsTable(table)
 
 
 @contextmanager

@@ -85,7 +85,7 @@ def series_sql(metric: str, granularity: str, excluded: bool) -> str:
     part = "month" if granularity == "monthly" else "week"
     value, test = {
         "frist_pct": (
-            "CAST(COUNT(CASE WHEN on_time = 1 THEN 1 END) AS DOUBLE) / COUNT(deadline)",
+            "CAST(COUNT(*) FILTER (WHERE on_time = 1) AS DOUBLE) / COUNT(deadline)",
             "stop_date IS NOT NULL AND deadline IS NOT NULL",
         ),
         "tidsbruk": ("AVG(duration)", "stop_date IS NOT NULL AND duration IS NOT NULL"),
@@ -197,19 +197,19 @@ ORACLE |= {
         _TREND,
         """
 SELECT indicator, period,
-       MAX(CASE WHEN metric = 'frist_pct' THEN ewma_slow END) AS ewma_slow_frist_pct,
-       MAX(CASE WHEN metric = 'frist_pct' THEN ewma_fast END) AS ewma_fast_frist_pct,
-       MAX(CASE WHEN metric = 'tidsbruk' THEN ewma_slow END) AS ewma_tidsbruk,
-       MAX(CASE WHEN metric = 'prod_diff' THEN ewma_slow END) AS ewma_prod_diff
+       MAX(ewma_slow) FILTER (WHERE metric = 'frist_pct') AS ewma_slow_frist_pct,
+       MAX(ewma_fast) FILTER (WHERE metric = 'frist_pct') AS ewma_fast_frist_pct,
+       MAX(ewma_slow) FILTER (WHERE metric = 'tidsbruk') AS ewma_tidsbruk,
+       MAX(ewma_slow) FILTER (WHERE metric = 'prod_diff') AS ewma_prod_diff
 FROM ewma GROUP BY indicator, period""",
     ),
     "trend_crosstab": _ewma_sql(
         _TREND,
         """
 SELECT metric, period,
-       COUNT(CASE WHEN trend_direction = 'Stigende' THEN 1 END) AS "Stigende",
-       COUNT(CASE WHEN trend_direction = 'Synkende' THEN 1 END) AS "Synkende",
-       COUNT(CASE WHEN trend_direction = 'Stabil' THEN 1 END) AS "Stabil"
+       COUNT(*) FILTER (WHERE trend_direction = 'Stigende') AS "Stigende",
+       COUNT(*) FILTER (WHERE trend_direction = 'Synkende') AS "Synkende",
+       COUNT(*) FILTER (WHERE trend_direction = 'Stabil') AS "Stabil"
 FROM ewma WHERE period = (SELECT MAX(period) FROM ewma) GROUP BY metric, period""",
     ),
     "trend_active": _ewma_sql(
@@ -280,7 +280,7 @@ SELECT {_KEY}, MAX(period) AS last_signal_period, MAX(signal_direction) AS direc
 FROM cusum WHERE signal GROUP BY {_KEY}"""
     ),
     "cusum_signal_count": _cusum_sql(
-        "SELECT COUNT(*) AS n_rows, COUNT(CASE WHEN signal THEN 1 END) AS n_signals FROM cusum"
+        "SELECT COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE signal) AS n_signals FROM cusum"
     ),
     "cusum_latest_flag": _cusum_sql(
         f"""
@@ -444,14 +444,15 @@ _COHORT = (
         f"""
   SELECT indicator, CAST(year(cohort_start) * 100 + month(cohort_start) AS INTEGER) AS cohort_period,
          CAST(size AS INTEGER) AS cohort_size, CAST(w AS INTEGER) AS weeks_since_intake,
-         CAST(COUNT(CASE WHEN end_date IS NULL OR end_date > cohort_start + CAST(7 * w AS INTEGER)
-                         THEN 1 END) AS INTEGER) AS open_count,
-         floor(COUNT(CASE WHEN end_date IS NULL OR end_date > cohort_start + CAST(7 * w AS INTEGER)
-                          THEN 1 END) / CAST(size AS DOUBLE) * 1e4 + 0.5e0) / 1e4 AS pct_open,
+         CAST(still_open AS INTEGER) AS open_count,
+         floor(still_open / CAST(size AS DOUBLE) * 1e4 + 0.5e0) / 1e4 AS pct_open,
          cohort_start >= DATE '2000-12-01' AS is_recent_cohort
-  FROM cohorts, range(1, 27) weeks(w)
-  WHERE size >= 10 AND cohort_start + CAST(7 * w AS INTEGER) <= {_AS_OF}
-  GROUP BY indicator, cohort_start, size, w""",
+  FROM (
+    SELECT indicator, cohort_start, size, w,
+           COUNT(*) FILTER (WHERE end_date IS NULL OR end_date > cohort_start + CAST(7 * w AS INTEGER)) AS still_open
+    FROM cohorts, range(1, 27) weeks(w)
+    WHERE size >= 10 AND cohort_start + CAST(7 * w AS INTEGER) <= {_AS_OF}
+    GROUP BY indicator, cohort_start, size, w)""",
     ),
     (
         "history",
@@ -541,9 +542,9 @@ _SNAPSHOT = (
     "snapshot",
     f"""
   SELECT {_DAY} AS snapshot_month, s.indicator AS indikator, CAST(COUNT(*) AS INTEGER) AS open_total,
-         CAST(COUNT(CASE WHEN is_workable THEN 1 END) AS INTEGER) AS open_workable,
-         CAST(COUNT(CASE WHEN is_paused THEN 1 END) AS INTEGER) AS open_paused,
-         CAST(COUNT(CASE WHEN is_mini_hearing THEN 1 END) AS INTEGER) AS open_mini_hearing,
+         CAST(COUNT(*) FILTER (WHERE is_workable) AS INTEGER) AS open_workable,
+         CAST(COUNT(*) FILTER (WHERE is_paused) AS INTEGER) AS open_paused,
+         CAST(COUNT(*) FILTER (WHERE is_mini_hearing) AS INTEGER) AS open_mini_hearing,
          COALESCE(MAX(e.tidligbehandling_count), 0) AS tidligbehandling_count
   FROM state s LEFT JOIN early e USING (indicator) GROUP BY s.indicator""",
 )
@@ -595,7 +596,7 @@ _MONTHLY = (
     "monthly",
     f"""
   SELECT indicator, CAST(year(stop_date) AS INTEGER) AS year, CAST(month(stop_date) AS INTEGER) AS month,
-         COUNT(CASE WHEN on_time = 1 THEN 1 END) AS on_time, COUNT(*) AS total
+         COUNT(*) FILTER (WHERE on_time = 1) AS on_time, COUNT(*) AS total
   FROM cases
   WHERE stop_date IS NOT NULL AND deadline IS NOT NULL AND {_KEPT} AND year(stop_date) >= {START_YEAR}
   GROUP BY ALL""",
@@ -710,10 +711,10 @@ FROM profile""",
     "projection": _projection_sql("SELECT * FROM projection"),
     "projection_summary": _projection_sql(
         f"""
-SELECT indikator, MAX(CASE WHEN type = 'actual' THEN verdi END) AS ytd_naa,
+SELECT indikator, MAX(verdi) FILTER (WHERE type = 'actual') AS ytd_naa,
        MAX(year_end_estimate) AS prognose_aarslutt,
-       MAX(CASE WHEN type = 'forecast' AND period = {CURRENT_YEAR * 100 + 12} THEN ci_lower END) AS ci_lower,
-       MAX(CASE WHEN type = 'forecast' AND period = {CURRENT_YEAR * 100 + 12} THEN ci_upper END) AS ci_upper
+       MAX(ci_lower) FILTER (WHERE type = 'forecast' AND period = {CURRENT_YEAR * 100 + 12}) AS ci_lower,
+       MAX(ci_upper) FILTER (WHERE type = 'forecast' AND period = {CURRENT_YEAR * 100 + 12}) AS ci_upper
 FROM projection GROUP BY indikator ORDER BY prognose_aarslutt, indikator LIMIT 30"""
     ),
     "projection_measures": _projection_sql("SELECT * FROM year_end"),

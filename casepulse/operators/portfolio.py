@@ -68,9 +68,13 @@ def _moment(milestones: DataFrame) -> Column:
     """The milestone time as a BIGINT that sorts like it."""
     kind = milestones.schema["milestone_ts"].dataType
     ts = F.col("milestone_ts")
+    days = F.unix_date(ts.cast("date")).cast("bigint")
     if isinstance(kind, T.DateType):
-        return F.unix_date(ts).cast("bigint")
-    return F.unix_micros(ts.cast("timestamp"))
+        return days
+    if isinstance(kind, T.TimestampNTZType):  # from its fields, so that no time zone shifts it
+        minutes = (days * 24 + F.hour(ts)) * 60 + F.minute(ts)
+        return minutes * 60_000_000 + (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
+    return F.unix_micros(ts)
 
 
 def _milestone_state(milestones: DataFrame, day: date, vocabulary: Vocabulary) -> DataFrame:

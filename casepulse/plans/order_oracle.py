@@ -120,7 +120,7 @@ ORACLE: dict[str, str] = {
 SELECT case_id, indicator, strftime(start_date, '%Y%m') AS cohort_label,
        CAST(year(start_date) * 100 + month(start_date) AS INTEGER) AS cohort_period,
        start_date AS intake_date, end_date,
-       CAST(date_diff('day', start_date, end_date) AS INTEGER) AS days_to_resolution,
+       CAST(date_diff('day', start_date, end_date) AS DOUBLE) AS days_to_resolution,
        CASE WHEN stop_date IS NULL THEN 1 ELSE 0 END AS is_open
 FROM cases WHERE year(start_date) >= {START_YEAR}""",
     ),

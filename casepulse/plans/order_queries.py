@@ -62,6 +62,12 @@ def _drift_series(spark: SparkSession, folder: str) -> DataFrame:
     return _series(spark, folder, drift_specs(EXCLUDE))
 
 
+def _case_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """Days as DOUBLE: clients disagree on how to show a NULL among integers."""
+    facts = case_facts(_cases(spark, folder), start_year=START_YEAR)
+    return facts.withColumn("days_to_resolution", facts.days_to_resolution.cast("double"))
+
+
 def _one_series(spec: SeriesSpec) -> Query:
     return lambda spark, folder: _series(spark, folder, [spec])
 
@@ -143,7 +149,7 @@ def _rag_config(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    "case_facts": lambda s, d: case_facts(_cases(s, d), start_year=START_YEAR),
+    "case_facts": _case_facts,
     "case_profile": lambda s, d: profile(_cases(s, d), distinct=["indicator"], ranges=["start_date"]),
     "series_frist_pct_monthly": _one_series(SeriesSpec("frist_pct", "monthly")),
     "series_tidsbruk_monthly": _one_series(SeriesSpec("tidsbruk", "monthly")),

@@ -7,21 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casepulse.llm import decontamination, langid, packing, pii, simhash
+from casepulse.llm import chat, decontamination, langid, licenses, maxent, packing, pii, quality, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
-#: The tokenizer file the queries use, in the folder that ``public_tokenizers`` names.
-TOKENIZER = "byte_bpe_50k.json"
+#: The tokenizer files the queries use, in the folder that ``public_tokenizers`` names.
+TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return str(public_tokenizers.path(name))
 
 
 def op1_language(spark: SparkSession, folder: str) -> DataFrame:
@@ -32,6 +32,11 @@ def op1_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op2_maxent(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return maxent.score(docs, langid.held_out("doc_id", 10))
+
+
 def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return docs.select("doc_id", pii.pseudonymise(F.col("text")).alias("text"), pii.count(F.col("text")).alias("n_values"))
@@ -49,6 +54,30 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return quality.judge(docs, quality.references(docs))
+
+
+def op7_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document is a file in the directory of its language in that of its source."""
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    files = _table(spark, folder, "documents").select("doc_id", path.alias("path"), "text")
+    found = licenses.scan(files, carried=("doc_id",))
+    return found.select("row.doc_id", "path", "own", "like", "licence", "origin")
+
+
+def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.find_secrets(_table(spark, folder, "documents"), tokenizer_path(RANKS))
+    numbers = [secrets.number(F.col("spans"), kind).alias(f"n_{kind}") for kind in secrets.KINDS]
+    base = secrets.listed(secrets.base_only(F.col("spans")))
+    return found.select("doc_id", *numbers, F.sha2(base, 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
+
+
+def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.repair(_table(spark, folder, "conversations"))
+
+
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
     return found.select(
@@ -63,8 +92,13 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_language": op1_language,
+    "op2_maxent": op2_maxent,
     "op3_pii": op3_pii,
     "op4_simhash": op4_simhash,
     "op5_packing": op5_packing,
+    "op6_quality": op6_quality,
+    "op7_licenses": op7_licenses,
+    "op8_secrets": op8_secrets,
+    "op9_chat": op9_chat,
     "op10_decontamination": op10_decontamination,
 }

@@ -7,7 +7,6 @@ from casepulse.operators.portfolio import (
     Vocabulary,
     classify,
     early_processing,
-    is_open_at,
     latest_milestone,
     open_at,
     portfolio_snapshot,
@@ -32,7 +31,6 @@ __all__ = [
     "early_processing",
     "ewma",
     "ewma_trend",
-    "is_open_at",
     "latest_milestone",
     "mark_segments",
     "metric_series",

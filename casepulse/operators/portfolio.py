@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,12 +37,6 @@ def snapshot_month_end(as_of: date) -> date:
     return first_of_month(as_of) - timedelta(days=1)
 
 
-def is_open_at(day: date) -> Column:
-    """Started on or before ``day`` and not ended by its close; never NULL."""
-    ended = F.coalesce(on_or_before(F.col("end_date"), day), F.lit(False))
-    return F.coalesce(on_or_before(F.col("start_date"), day), F.lit(False)) & ~ended
-
-
 def open_at(cases: DataFrame, day: date) -> DataFrame:
     """The open cases as (case_id, indicator).
 
@@ -54,13 +48,21 @@ def open_at(cases: DataFrame, day: date) -> DataFrame:
 
 
 def latest_milestone(milestones: DataFrame, day: date) -> DataFrame:
-    """The newest milestone of each case up to ``day``; equal times go to the greater name."""
-    newest = F.max(F.struct("milestone_ts", "milestone"))
+    """The newest milestone of each case up to ``day``; equal times go to the greater name.
+
+    The log is hashed to the newest time of each case and name, task by task, before it is
+    shuffled; only those few rows are ranked.
+    """
+    newest_first = Window.partitionBy("case_id").orderBy(
+        F.col("milestone_ts").desc(), F.col("milestone").desc_nulls_last()
+    )
     return (
         milestones.where(on_or_before(F.col("milestone_ts"), day))
-        .groupBy("case_id")
-        .agg(newest.alias("newest"))
-        .select("case_id", "newest.milestone", "newest.milestone_ts")
+        .groupBy("case_id", "milestone")
+        .agg(F.max("milestone_ts").alias("milestone_ts"))
+        .withColumn("place", F.row_number().over(newest_first))
+        .where("place = 1")
+        .select("case_id", "milestone", "milestone_ts")
     )
 
 
@@ -78,7 +80,7 @@ def _moment(milestones: DataFrame) -> Column:
 
 
 def _milestone_state(milestones: DataFrame, day: date, vocabulary: Vocabulary) -> DataFrame:
-    """One row per case: the three state flags at ``day`` and whether it got early processing in that month.
+    """One row per case: the three state flags at ``day``.
 
     The latest milestone is kept as one BIGINT, its time times a base plus a code that
     orders names as strings do but merges the names that mean nothing here. So every
@@ -92,18 +94,13 @@ def _milestone_state(milestones: DataFrame, day: date, vocabulary: Vocabulary) -
         code = code + F.when(name > state, 2).when(name == state, 1).otherwise(0)
     base = 2 * len(states) + 1
     code_of = {state: 2 * place + 1 for place, state in enumerate(states)}
-
-    by_day = on_or_before(ts, day)
-    in_month = (ts >= F.lit(first_of_month(day))) & (ts < F.lit(shift_months(day, 1)))
-    horizon = max(day, shift_months(day, 1) - timedelta(days=1))
     rolled = (
-        milestones.where(on_or_before(ts, horizon))
+        milestones.where(on_or_before(ts, day))
         .groupBy("case_id")
         .agg(
-            F.max(F.when(by_day, _moment(milestones) * base + code)).alias("latest"),
-            F.max(F.when(by_day & name.isin(*vocabulary.paused), ts)).alias("paused_ts"),
-            F.max(F.when(by_day & name.isin(*vocabulary.resume), ts)).alias("resumed_ts"),
-            F.max(F.when(in_month & (name == vocabulary.early), 1).otherwise(0)).alias("early"),
+            F.max(_moment(milestones) * base + code).alias("latest"),
+            F.max(F.when(name.isin(*vocabulary.paused), ts)).alias("paused_ts"),
+            F.max(F.when(name.isin(*vocabulary.resume), ts)).alias("resumed_ts"),
         )
     )
     state = F.pmod("latest", F.lit(base))
@@ -115,7 +112,6 @@ def _milestone_state(milestones: DataFrame, day: date, vocabulary: Vocabulary) -
         paused.alias("is_paused"),
         (~paused & state.isin([code_of[w] for w in vocabulary.workable])).alias("is_workable"),
         (state == code_of[vocabulary.mini_hearing]).alias("is_mini_hearing"),
-        (F.col("early") == 1).alias("is_early"),
     )
 
 
@@ -176,36 +172,26 @@ def portfolio_snapshot(
 ) -> DataFrame:
     """The rows of ``portefolje_snapshot`` for one month end.
 
-    One row per indicator with an open case. Each input is scanned and shuffled once:
-    milestones are folded to a row per case, joined to the cases on their unique key, and
-    both the open states and the early-processing count are read off the joined rows.
+    One row per indicator with an open case. The open states and the early processing are
+    two branches joined on the indicator: the date tests of the first reach the scan of the
+    cases, so only open cases are shuffled, and the month and name of the second reach that
+    of the milestones. Where the session lets Spark filter the milestones by the open case
+    keys at run time, closed cases' milestones are dropped before the shuffle as well.
     """
-    facts = cases.select(
-        "case_id",
-        "indicator",
-        is_open_at(day).alias("is_open"),
-        _counted(exclude_like).alias("is_counted"),
-    ).where(F.col("indicator").isNotNull() & (F.col("is_open") | F.col("is_counted")))
-    joined = facts.join(_milestone_state(milestones, day, vocabulary), "case_id", "left")
-    is_open = F.col("is_open")
-    early_case = F.when(F.col("is_counted") & _flag("is_early"), F.col("case_id"))
-    return (
-        joined.groupBy("indicator")
-        .agg(
-            F.count_if(is_open).cast("int").alias("open_total"),
-            F.count_if(is_open & _flag("is_workable")).cast("int").alias("open_workable"),
-            F.count_if(is_open & _flag("is_paused")).cast("int").alias("open_paused"),
-            F.count_if(is_open & _flag("is_mini_hearing")).cast("int").alias("open_mini_hearing"),
-            F.count_distinct(early_case).cast("int").alias("tidligbehandling_count"),
-        )
-        .where("open_total > 0")
-        .select(
-            F.lit(day).alias("snapshot_month"),
-            F.col("indicator").alias("indikator"),
-            "open_total",
-            "open_workable",
-            "open_paused",
-            "open_mini_hearing",
-            "tidligbehandling_count",
-        )
+    state = classify(open_at(cases, day), milestones, day, vocabulary)
+    counts = state.groupBy("indicator").agg(
+        F.count("*").cast("int").alias("open_total"),
+        F.count_if("is_workable").cast("int").alias("open_workable"),
+        F.count_if("is_paused").cast("int").alias("open_paused"),
+        F.count_if("is_mini_hearing").cast("int").alias("open_mini_hearing"),
+    )
+    early = early_processing(cases, milestones, day, vocabulary=vocabulary, exclude_like=exclude_like)
+    return counts.join(early, "indicator", "left").select(
+        F.lit(day).alias("snapshot_month"),
+        F.col("indicator").alias("indikator"),
+        "open_total",
+        "open_workable",
+        "open_paused",
+        "open_mini_hearing",
+        F.coalesce("tidligbehandling_count", F.lit(0)).alias("tidligbehandling_count"),
     )

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from casepulse.functions import period_start
 from casepulse.operators.trend import FALLING, RISING
 from casepulse.schemas import SERIES_KEY
 
@@ -32,6 +33,11 @@ def active_signal_count(cusum_results: DataFrame) -> DataFrame:
     )
 
 
+def month_axis(results: DataFrame, period: str = "period", alias: str = "month") -> DataFrame:
+    """Monthly results with the first day of each period, the axis charts are drawn on."""
+    return results.withColumn(alias, period_start(F.col(period)))
+
+
 def latest_changepoint(changepoint_results: DataFrame) -> DataFrame:
     """Period and size of the newest shift of each series."""
     return changepoint_results.groupBy(*SERIES_KEY).agg(
@@ -101,21 +107,22 @@ def early_share(snapshots: DataFrame, cases: DataFrame) -> DataFrame:
 
 
 def year_end_measures(projection_results: DataFrame) -> DataFrame:
-    """Estimate and bounds at the last forecast period of each indicator."""
-    return (
-        projection_results.where(F.col("type") == "forecast")
-        .groupBy("indikator")
-        .agg(
-            F.max("period").alias("period"),
-            *[
-                F.max_by(name, "period").alias(label)
-                for name, label in (
-                    ("year_end_estimate", "prognose_aarslutt"),
-                    ("ci_lower", "prognose_ci_lower"),
-                    ("ci_upper", "prognose_ci_upper"),
-                )
-            ],
-        )
+    """Estimate and bounds at the last forecast period of each indicator.
+
+    Every projected indicator has a row; without forecast periods, as when December is
+    known, its measures are NULL.
+    """
+    ahead = F.when(F.col("type") == "forecast", F.col("period"))
+    return projection_results.groupBy("indikator").agg(
+        F.max(ahead).alias("period"),
+        *[
+            F.max_by(name, ahead).alias(label)
+            for name, label in (
+                ("year_end_estimate", "prognose_aarslutt"),
+                ("ci_lower", "prognose_ci_lower"),
+                ("ci_upper", "prognose_ci_upper"),
+            )
+        ],
     )
 
 

@@ -14,7 +14,10 @@ from casepulse.plans.order_queries import (
     BREAKS,
     CURRENT_YEAR,
     EXCLUDE,
+    PAST_YEAR,
+    RUN_AT,
     SNAPSHOT,
+    SNAPSHOTS,
     START_YEAR,
     TARGETS,
 )
@@ -49,25 +52,31 @@ def chain(*parts: tuple[str, str], select: str) -> str:
 
 # --------------------------------------------------------------------------- inputs
 
-CASES = (
-    "cases",
-    f"""
+def _cases_sql(shipped: str, placed: str) -> tuple[str, str]:
+    return (
+        "cases",
+        f"""
   SELECT case_id, indicator, start_date, stop_date, stop_date AS end_date, deadline,
          CASE WHEN stop_date <= deadline THEN 1 WHEN stop_date > deadline THEN 0 END AS on_time,
          CAST(date_diff('day', start_date, stop_date) AS DOUBLE) AS duration
   FROM (
     SELECT o.o_orderkey AS case_id, o.o_orderpriority AS indicator,
            CAST(o.o_orderdate AS DATE) AS start_date,
-           MIN(CASE WHEN CAST(l.l_shipdate AS DATE) BETWEEN CAST(o.o_orderdate AS DATE) AND {_AS_OF}
+           MIN(CASE WHEN CAST(l.l_shipdate AS DATE) >= CAST(o.o_orderdate AS DATE) AND {shipped}
                     THEN CAST(l.l_shipdate AS DATE) END) AS stop_date,
            CAST(o.o_orderdate AS DATE) + CASE o.o_orderpriority
              WHEN '1-URGENT' THEN 21 WHEN '2-HIGH' THEN 84
              WHEN '3-MEDIUM' THEN 126 WHEN '4-NOT SPECIFIED' THEN 365 END AS deadline
     FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
-    WHERE CAST(o.o_orderdate AS DATE) <= {_AS_OF}
+    WHERE {placed}
     GROUP BY ALL
   )""",
-)
+    )
+
+
+CASES = _cases_sql("TRUE", "TRUE")
+#: As the projection sees them on its day.
+CASES_AS_OF = _cases_sql(f"CAST(l.l_shipdate AS DATE) <= {_AS_OF}", f"CAST(o.o_orderdate AS DATE) <= {_AS_OF}")
 MILESTONES = (
     "milestones",
     """
@@ -193,6 +202,12 @@ ORACLE |= {
     "ewma_duration_monthly": _ewma_sql(_TREND[1:2], "SELECT * FROM ewma"),
     "ewma_prod_diff": _ewma_sql(_TREND[2:], "SELECT * FROM ewma"),
     "ewma_all": _ewma_sql(_TREND, "SELECT * FROM ewma"),
+    "ewma_month_axis": _ewma_sql(
+        _TREND,
+        """
+SELECT indicator, metric, make_date(CAST(period // 100 AS BIGINT), CAST(period % 100 AS BIGINT), 1) AS month, ewma_slow
+FROM ewma""",
+    ),
     "ewma_measures": _ewma_sql(
         _TREND,
         """
@@ -326,14 +341,8 @@ _VECTORS = (
   SELECT {_KEY}, list(value ORDER BY period) AS x, list(period ORDER BY period) AS periods
   FROM series GROUP BY {_KEY}""",
 )
+_PENALTIES = {"log_n_var": "ln(len(x)) * list_aggregate(x, 'var_pop')", "log_n": "ln(len(x))"}
 _SEARCH = (
-    (
-        "long_series",
-        """
-  SELECT *, row_number() OVER () AS id, len(x) AS n,
-         ln(len(x)) * list_aggregate(x, 'var_pop') AS beta
-  FROM vectors WHERE len(x) >= CASE granularity WHEN 'monthly' THEN 24 ELSE 52 END""",
-    ),
     ("points", "SELECT id, unnest(x) AS v, unnest(range(1, n + 1)) AS i FROM long_series"),
     (
         "pairs",
@@ -398,8 +407,11 @@ _SEARCH = (
 )
 
 
-def _search_sql(select: str) -> str:
-    return chain(CASES, _series(_DRIFT), _VECTORS, *_SEARCH, *_SHIFTS, select=select)
+def _search_sql(select: str, penalty: str = "log_n_var") -> str:
+    long_series = f"""
+  SELECT *, row_number() OVER () AS id, len(x) AS n, {_PENALTIES[penalty]} AS beta
+  FROM vectors WHERE len(x) >= CASE granularity WHEN 'monthly' THEN 24 ELSE 52 END"""
+    return chain(CASES, _series(_DRIFT), _VECTORS, ("long_series", long_series), *_SEARCH, *_SHIFTS, select=select)
 
 
 ORACLE |= {
@@ -415,11 +427,12 @@ ORACLE |= {
         f"SELECT {_KEY}, CAST(bp AS INTEGER) AS bp, periods[bp + 1] AS period FROM cuts"
     ),
     "changepoint_shifts": _search_sql("SELECT * FROM shifts"),
+    "changepoint_shifts_log_n": _search_sql("SELECT * FROM shifts", "log_n"),
     "largest_shifts": _search_sql(
         f"""
 SELECT {_KEY}, changepoint_period, {display('mean_before', 3)} AS before,
        {display('mean_after', 3)} AS after, {display('shift_magnitude', 3)} AS change, shift_direction
-FROM shifts ORDER BY abs(shift_magnitude) DESC, {_KEY}, changepoint_period LIMIT 50"""
+FROM shifts"""
     ),
     "latest_changepoint": _search_sql(
         f"""
@@ -492,74 +505,84 @@ SELECT indicator, cohort_period, cohort_size, {display('pct_open * 100', 1)} AS
        {display('pct_open_historical * 100', 1)} AS pct_open_historical,
        {display('delta_historical * 100', 1)} AS delta_pct
 FROM compared
-WHERE weeks_since_intake = 12 AND is_recent_cohort AND pct_open_historical IS NOT NULL
-ORDER BY delta_historical DESC, indicator, cohort_period LIMIT 30""",
+WHERE weeks_since_intake = 12 AND is_recent_cohort AND pct_open_historical IS NOT NULL""",
     ),
 }
 
 
 # --------------------------------------------------------------------------- portfolio
 
+_DAYS = (
+    "days",
+    f"SELECT unnest([{', '.join(f"DATE '{day}'" for day, _ in SNAPSHOTS)}]) AS snapshot_month",
+)
+_DAY_ONLY = ("days", f"SELECT {_DAY} AS snapshot_month")
 _OPEN = (
     "open_cases",
-    f"""
-  SELECT case_id, indicator FROM cases
-  WHERE indicator IS NOT NULL AND start_date <= {_DAY} AND (end_date IS NULL OR end_date > {_DAY})""",
+    """
+  SELECT snapshot_month, case_id, indicator FROM cases, days
+  WHERE indicator IS NOT NULL AND start_date <= snapshot_month AND (end_date IS NULL OR end_date > snapshot_month)""",
 )
 _STATE = (
-    ("known", f"SELECT * FROM milestones WHERE milestone_ts IS NOT NULL AND milestone_ts <= {_DAY}"),
+    (
+        "known",
+        "SELECT * FROM milestones, days WHERE milestone_ts IS NOT NULL AND milestone_ts <= snapshot_month",
+    ),
     (
         "newest",
         """
-  SELECT case_id, milestone, milestone_ts FROM known
-  QUALIFY row_number() OVER (PARTITION BY case_id ORDER BY milestone_ts DESC, milestone DESC) = 1""",
+  SELECT snapshot_month, case_id, milestone, milestone_ts FROM known
+  QUALIFY row_number() OVER (
+    PARTITION BY snapshot_month, case_id ORDER BY milestone_ts DESC, milestone DESC) = 1""",
     ),
-    ("pauses", "SELECT case_id, MAX(milestone_ts) AS ts FROM known WHERE milestone IN ('AF', 'AO') GROUP BY case_id"),
-    ("resumes", "SELECT case_id, MAX(milestone_ts) AS ts FROM known WHERE milestone IN ('RF', 'NF') GROUP BY case_id"),
+    ("pauses", "SELECT snapshot_month, case_id, MAX(milestone_ts) AS ts FROM known WHERE milestone IN ('AF', 'AO') GROUP BY ALL"),
+    ("resumes", "SELECT snapshot_month, case_id, MAX(milestone_ts) AS ts FROM known WHERE milestone IN ('RF', 'NF') GROUP BY ALL"),
     (
         "state",
         """
-  SELECT case_id, indicator, paused AS is_paused,
+  SELECT snapshot_month, case_id, indicator, paused AS is_paused,
          COALESCE(NOT paused AND milestone IN ('NF', 'RF', 'RO'), FALSE) AS is_workable,
          COALESCE(milestone = 'AO', FALSE) AS is_mini_hearing
   FROM (
-    SELECT o.case_id, o.indicator, m.milestone,
+    SELECT o.snapshot_month, o.case_id, o.indicator, m.milestone,
            (p.ts IS NOT NULL AND (r.ts IS NULL OR p.ts > r.ts)) AS paused
-    FROM open_cases o LEFT JOIN newest m USING (case_id)
-    LEFT JOIN pauses p USING (case_id) LEFT JOIN resumes r USING (case_id))""",
+    FROM open_cases o LEFT JOIN newest m USING (snapshot_month, case_id)
+    LEFT JOIN pauses p USING (snapshot_month, case_id) LEFT JOIN resumes r USING (snapshot_month, case_id))""",
     ),
 )
 _EARLY = (
     "early",
     f"""
-  SELECT c.indicator, CAST(COUNT(DISTINCT m.case_id) AS INTEGER) AS tidligbehandling_count
-  FROM milestones m JOIN cases c USING (case_id)
-  WHERE m.milestone = 'NO' AND year(m.milestone_ts) = {SNAPSHOT.year}
-    AND month(m.milestone_ts) = {SNAPSHOT.month} AND c.{_KEPT}
-  GROUP BY c.indicator""",
+  SELECT snapshot_month, c.indicator, CAST(COUNT(DISTINCT m.case_id) AS INTEGER) AS tidligbehandling_count
+  FROM milestones m JOIN cases c USING (case_id), days
+  WHERE m.milestone = 'NO' AND year(m.milestone_ts) = year(snapshot_month)
+    AND month(m.milestone_ts) = month(snapshot_month) AND c.{_KEPT}
+  GROUP BY ALL""",
 )
 _SNAPSHOT = (
     "snapshot",
-    f"""
-  SELECT {_DAY} AS snapshot_month, s.indicator AS indikator, CAST(COUNT(*) AS INTEGER) AS open_total,
+    """
+  SELECT snapshot_month, s.indicator AS indikator, CAST(COUNT(*) AS INTEGER) AS open_total,
          CAST(COUNT(*) FILTER (WHERE is_workable) AS INTEGER) AS open_workable,
          CAST(COUNT(*) FILTER (WHERE is_paused) AS INTEGER) AS open_paused,
          CAST(COUNT(*) FILTER (WHERE is_mini_hearing) AS INTEGER) AS open_mini_hearing,
          COALESCE(MAX(e.tidligbehandling_count), 0) AS tidligbehandling_count
-  FROM state s LEFT JOIN early e USING (indicator) GROUP BY s.indicator""",
+  FROM state s LEFT JOIN early e USING (snapshot_month, indicator) GROUP BY ALL""",
 )
 
 
-def _snapshot_sql(select: str) -> str:
-    return chain(CASES, MILESTONES, _OPEN, *_STATE, _EARLY, _SNAPSHOT, select=select)
+def _snapshot_sql(select: str, days: tuple[str, str] = _DAYS) -> str:
+    return chain(CASES, MILESTONES, days, _OPEN, *_STATE, _EARLY, _SNAPSHOT, select=select)
 
 
+_WITHOUT_DAY = "SELECT * EXCLUDE (snapshot_month) FROM"
+_BATCHES = ", ".join(f"(DATE '{day}', '{run_at:%Y%m%dT%H%M%S}')" for day, run_at in SNAPSHOTS)
 ORACLE |= {
-    "open_at": chain(CASES, _OPEN, select="SELECT * FROM open_cases"),
-    "latest_milestone": chain(MILESTONES, *_STATE[:2], select="SELECT * FROM newest"),
-    "case_state": chain(CASES, MILESTONES, _OPEN, *_STATE, select="SELECT * FROM state"),
-    "early_processing": chain(CASES, MILESTONES, _EARLY, select="SELECT * FROM early"),
-    "portfolio_snapshot": _snapshot_sql("SELECT * FROM snapshot"),
+    "open_at": chain(CASES, _DAY_ONLY, _OPEN, select=f"{_WITHOUT_DAY} open_cases"),
+    "latest_milestone": chain(MILESTONES, _DAY_ONLY, *_STATE[:2], select=f"{_WITHOUT_DAY} newest"),
+    "case_state": chain(CASES, MILESTONES, _DAY_ONLY, _OPEN, *_STATE, select=f"{_WITHOUT_DAY} state"),
+    "early_processing": chain(CASES, MILESTONES, _DAY_ONLY, _EARLY, select=f"{_WITHOUT_DAY} early"),
+    "portfolio_snapshot": _snapshot_sql("SELECT * FROM snapshot", _DAY_ONLY),
     "portfolio_shares": _snapshot_sql(
         """
 SELECT snapshot_month, CAST(SUM(open_workable) AS DOUBLE) / SUM(open_total) AS andel_arbeidbar,
@@ -567,15 +590,18 @@ SELECT snapshot_month, CAST(SUM(open_workable) AS DOUBLE) / SUM(open_total) AS a
 FROM snapshot GROUP BY snapshot_month"""
     ),
     "early_share": _snapshot_sql(
-        f"""
+        """
 SELECT snapshot_month, CAST(SUM(tidligbehandling_count) AS BIGINT) AS early, received,
        CAST(SUM(tidligbehandling_count) AS DOUBLE) / received AS andel_tidligbehandling
-FROM snapshot, (SELECT COUNT(*) AS received FROM cases
-                WHERE year(start_date) = {SNAPSHOT.year} AND month(start_date) = {SNAPSHOT.month})
+FROM snapshot JOIN (SELECT last_day(start_date) AS snapshot_month, COUNT(*) AS received FROM cases GROUP BY ALL)
+  USING (snapshot_month)
 GROUP BY snapshot_month, received"""
     ),
     "snapshot_audit": _snapshot_sql(
-        "SELECT snapshot_month, COUNT(*) AS rader FROM snapshot GROUP BY snapshot_month"
+        f"""
+SELECT snapshot_month, COUNT(*) AS rader
+FROM snapshot JOIN (VALUES {_BATCHES}) b(snapshot_month, batch_id) USING (snapshot_month)
+WHERE batch_id = '{RUN_AT:%Y%m%dT%H%M%S}' GROUP BY snapshot_month"""
     ),
 }
 
@@ -604,7 +630,7 @@ _MONTHLY = (
 _PROFILE = (
     (
         "year_ends",
-        f"SELECT indicator, year, ytd AS year_end FROM ytd_rates WHERE month = 12 AND year < {CURRENT_YEAR}",
+        "SELECT indicator, year, ytd AS year_end FROM ytd_rates, this WHERE month = 12 AND year < current_year",
     ),
     (
         "ratios",
@@ -644,7 +670,7 @@ _PROJECTION = (
         "latest",
         f"""
   SELECT l.indicator, l.month, l.ytd, p.mean_ratio, {_YEAR_END} AS estimate
-  FROM (SELECT * FROM ytd_rates WHERE year = {CURRENT_YEAR}
+  FROM (SELECT * FROM ytd_rates, this WHERE year = current_year
         QUALIFY row_number() OVER (PARTITION BY indicator ORDER BY month DESC) = 1) l
   LEFT JOIN profile p ON p.indicator = l.indicator AND p.month = l.month
   WHERE l.indicator IN (SELECT indicator FROM profile)""",
@@ -660,47 +686,57 @@ _PROJECTION = (
     (
         "projection",
         f"""
-  SELECT y.indicator AS indikator, CAST({CURRENT_YEAR} * 100 + y.month AS INTEGER) AS period,
+  SELECT y.indicator AS indikator, CAST(current_year * 100 + y.month AS INTEGER) AS period,
          'actual' AS type, {r4('y.ytd')} AS verdi, CAST(NULL AS DOUBLE) AS ci_lower,
          CAST(NULL AS DOUBLE) AS ci_upper, l.estimate AS year_end_estimate
-  FROM ytd_rates y JOIN latest l ON l.indicator = y.indicator WHERE y.year = {CURRENT_YEAR}
+  FROM ytd_rates y JOIN latest l ON l.indicator = y.indicator, this WHERE y.year = current_year
   UNION ALL
-  SELECT indicator, CAST({CURRENT_YEAR} * 100 + month AS INTEGER), 'forecast', {r4('forecast')},
+  SELECT indicator, CAST(current_year * 100 + month AS INTEGER), 'forecast', {r4('forecast')},
          {_AHEAD[1]}, {_AHEAD[2]}, estimate
-  FROM ahead""",
+  FROM ahead, this""",
     ),
     (
         "year_end",
         """
-  SELECT indikator, period, year_end_estimate AS prognose_aarslutt,
-         ci_lower AS prognose_ci_lower, ci_upper AS prognose_ci_upper
-  FROM projection WHERE type = 'forecast'
-  QUALIFY row_number() OVER (PARTITION BY indikator ORDER BY period DESC) = 1""",
+  SELECT indikator, f.period, f.year_end_estimate AS prognose_aarslutt,
+         f.ci_lower AS prognose_ci_lower, f.ci_upper AS prognose_ci_upper
+  FROM (SELECT DISTINCT indikator FROM projection)
+  LEFT JOIN (SELECT * FROM projection WHERE type = 'forecast'
+             QUALIFY row_number() OVER (PARTITION BY indikator ORDER BY period DESC) = 1) f USING (indikator)""",
     ),
 )
 
 
-def _projection_sql(select: str) -> str:
-    return chain(CASES, _MONTHLY, _YTD, *_PROFILE, *_PROJECTION, select=select)
+def _this(year: int) -> tuple[str, str]:
+    return "this", f"SELECT {year} AS current_year"
+
 
+def _projection_sql(select: str, year: int = CURRENT_YEAR) -> str:
+    return chain(CASES_AS_OF, _this(year), _MONTHLY, _YTD, *_PROFILE, *_PROJECTION, select=select)
 
-def _rag_sql(targets: str) -> str:
+
+def _rag_sql(targets: str, year: int = CURRENT_YEAR) -> str:
     return _projection_sql(
         f"""
 SELECT y.indikator, y.prognose_aarslutt, t.target,
        CASE WHEN y.prognose_aarslutt IS NULL OR t.target IS NULL THEN NULL
             WHEN y.prognose_aarslutt >= t.target THEN 3
             WHEN y.prognose_aarslutt >= t.target * 0.95e0 THEN 2 ELSE 1 END AS rag
-FROM year_end y LEFT JOIN (VALUES {targets}) t(indikator, target) ON t.indikator = y.indikator"""
+FROM year_end y LEFT JOIN (VALUES {targets}) t(indikator, target) ON t.indikator = y.indikator""",
+        year,
     )
 
 
+_ALERTS = ", ".join(f"('{name}', {target}::DOUBLE)" for name, target, active in ALERTS if active)
+
+
 ORACLE |= {
     "ytd_rate": chain(
         CASES, _MONTHLY, _YTD, select=f"SELECT * REPLACE ({r4('ytd')} AS ytd) FROM ytd_rates"
     ),
     "seasonal_profile": chain(
-        CASES,
+        CASES_AS_OF,
+        _this(CURRENT_YEAR),
         _MONTHLY,
         _YTD,
         *_PROFILE,
@@ -715,12 +751,12 @@ SELECT indikator, MAX(verdi) FILTER (WHERE type = 'actual') AS ytd_naa,
        MAX(year_end_estimate) AS prognose_aarslutt,
        MAX(ci_lower) FILTER (WHERE type = 'forecast' AND period = {CURRENT_YEAR * 100 + 12}) AS ci_lower,
        MAX(ci_upper) FILTER (WHERE type = 'forecast' AND period = {CURRENT_YEAR * 100 + 12}) AS ci_upper
-FROM projection GROUP BY indikator ORDER BY prognose_aarslutt, indikator LIMIT 30"""
+FROM projection GROUP BY indikator"""
     ),
     "projection_measures": _projection_sql("SELECT * FROM year_end"),
-    "projection_rag": _rag_sql(
-        ", ".join(f"('{name}', {target}::DOUBLE)" for name, target, active in ALERTS if active)
-    ),
+    "projection_measures_december": _projection_sql("SELECT * FROM year_end", PAST_YEAR),
+    "projection_rag": _rag_sql(_ALERTS),
+    "projection_rag_december": _rag_sql(_ALERTS, PAST_YEAR),
     "projection_rag_config": _rag_sql(
         ", ".join(f"('{name}', {amber}::DOUBLE)" for name, _, _, amber in TARGETS)
     ),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,7 +42,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The dates and names the queries and their SQL share.
 AS_OF = date(2001, 6, 30)
 SNAPSHOT = date(2001, 5, 31)
+#: Month ends with a snapshot and the run that wrote each.
+SNAPSHOTS = (
+    (date(2001, 3, 31), datetime(2001, 4, 30, 6, 0, 0)),
+    (date(2001, 4, 30), datetime(2001, 6, 30, 6, 0, 0)),
+    (date(2001, 5, 31), datetime(2001, 6, 30, 6, 0, 0)),
+)
 CURRENT_YEAR = 2001
+#: A year of which December is known, so that nothing is left to forecast.
+PAST_YEAR = 2000
 START_YEAR = 1996
 EXCLUDE = "%NOT SPECIFIED%"
 BREAKS = (12, 36)
@@ -51,7 +60,7 @@ TARGETS = [("1-URGENT", 3, 0.20, 0.25), ("2-HIGH", 12, 0.50, 0.65), ("3-MEDIUM",
 
 
 def _cases(spark: SparkSession, folder: str) -> DataFrame:
-    return order_cases(spark, folder, AS_OF)
+    return order_cases(spark, folder)
 
 
 def _series(spark: SparkSession, folder: str, specs) -> DataFrame:
@@ -76,8 +85,8 @@ def _cusum(spark: SparkSession, folder: str) -> DataFrame:
     return cusum(_drift_series(spark, folder))
 
 
-def _shifts(spark: SparkSession, folder: str) -> DataFrame:
-    return shifts(_drift_series(spark, folder))
+def _shifts(spark: SparkSession, folder: str, **options) -> DataFrame:
+    return shifts(_drift_series(spark, folder), **options)
 
 
 def _ewma(spark: SparkSession, folder: str) -> DataFrame:
@@ -96,11 +105,11 @@ def _cohorts(spark: SparkSession, folder: str) -> DataFrame:
     return cohort_baseline(_matrix(spark, folder))
 
 
-def _snapshot(spark: SparkSession, folder: str) -> DataFrame:
+def _snapshot(spark: SparkSession, folder: str, day: date = SNAPSHOT) -> DataFrame:
     return portfolio_snapshot(
         _cases(spark, folder),
         order_milestones(spark, folder),
-        SNAPSHOT,
+        day,
         vocabulary=ORDER_VOCABULARY,
         exclude_like=EXCLUDE,
     )
@@ -121,22 +130,28 @@ def _early(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """Several month ends with their runs, as the snapshot table holds them."""
+    months = [stamp(_snapshot(spark, folder, day), batch_id_of(run_at), run_at) for day, run_at in SNAPSHOTS]
+    return reduce(DataFrame.unionByName, months)
+
+
 def _audit(spark: SparkSession, folder: str) -> DataFrame:
-    stamped = stamp(_snapshot(spark, folder), batch_id_of(RUN_AT), RUN_AT)
-    return reports.snapshot_audit(stamped, batch_id_of(RUN_AT))
+    return reports.snapshot_audit(_snapshots(spark, folder), batch_id_of(RUN_AT))
 
 
-def _ytd(spark: SparkSession, folder: str) -> DataFrame:
-    return ytd_rate(_cases(spark, folder), start_year=START_YEAR, exclude_like=EXCLUDE)
+def _ytd(spark: SparkSession, folder: str, as_of: date | None = None) -> DataFrame:
+    """Rates of all years; the projection looks at them from one day."""
+    return ytd_rate(order_cases(spark, folder, as_of), start_year=START_YEAR, exclude_like=EXCLUDE)
 
 
-def _projection(spark: SparkSession, folder: str) -> DataFrame:
-    return project(_ytd(spark, folder), CURRENT_YEAR)
+def _projection(spark: SparkSession, folder: str, year: int = CURRENT_YEAR) -> DataFrame:
+    return project(_ytd(spark, folder, AS_OF), year)
 
 
-def _rag(spark: SparkSession, folder: str) -> DataFrame:
+def _rag(spark: SparkSession, folder: str, year: int = CURRENT_YEAR) -> DataFrame:
     alerts = spark.createDataFrame(ALERTS, ALERT_CONFIG)
-    return measures.projection_rag(_projection(spark, folder), alerts)
+    return measures.projection_rag(_projection(spark, folder, year), alerts)
 
 
 def _rag_config(spark: SparkSession, folder: str) -> DataFrame:
@@ -162,6 +177,7 @@ QUERIES: dict[str, Query] = {
     "ewma_duration_monthly": _one_ewma("tidsbruk"),
     "ewma_prod_diff": _one_ewma("prod_diff"),
     "ewma_all": _ewma,
+    "ewma_month_axis": lambda s, d: measures.month_axis(_ewma(s, d)).select("indicator", "metric", "month", "ewma_slow"),
     "ewma_measures": lambda s, d: measures.smoothed_measures(_ewma(s, d)),
     "trend_crosstab": lambda s, d: reports.trend_crosstab(_ewma(s, d)),
     "trend_active": lambda s, d: reports.active_trends(_ewma(s, d)),
@@ -174,6 +190,7 @@ QUERIES: dict[str, Query] = {
     "shift_stats": lambda s, d: shift_stats(_drift_series(s, d), BREAKS),
     "changepoints": lambda s, d: changepoints(_drift_series(s, d)),
     "changepoint_shifts": _shifts,
+    "changepoint_shifts_log_n": lambda s, d: _shifts(s, d, penalty="log_n"),
     "largest_shifts": lambda s, d: reports.largest_shifts(_shifts(s, d)),
     "latest_changepoint": lambda s, d: measures.latest_changepoint(_shifts(s, d)),
     "cohort_matrix": _matrix,
@@ -185,16 +202,18 @@ QUERIES: dict[str, Query] = {
     "case_state": _case_state,
     "portfolio_snapshot": _snapshot,
     "early_processing": _early,
-    "portfolio_shares": lambda s, d: measures.portfolio_shares(_snapshot(s, d)),
-    "early_share": lambda s, d: measures.early_share(_snapshot(s, d), _cases(s, d)),
+    "portfolio_shares": lambda s, d: measures.portfolio_shares(_snapshots(s, d)),
+    "early_share": lambda s, d: measures.early_share(_snapshots(s, d), _cases(s, d)),
     "snapshot_audit": _audit,
     "ytd_rate": lambda s, d: rounded(_ytd(s, d), "ytd"),
     "seasonal_profile": lambda s, d: rounded(
-        seasonal_profile(_ytd(s, d), CURRENT_YEAR), "mean_ratio", "std_ratio"
+        seasonal_profile(_ytd(s, d, AS_OF), CURRENT_YEAR), "mean_ratio", "std_ratio"
     ),
     "projection": _projection,
     "projection_summary": lambda s, d: reports.projection_summary(_projection(s, d), CURRENT_YEAR),
     "projection_measures": lambda s, d: measures.year_end_measures(_projection(s, d)),
+    "projection_measures_december": lambda s, d: measures.year_end_measures(_projection(s, d, PAST_YEAR)),
     "projection_rag": _rag,
+    "projection_rag_december": lambda s, d: _rag(s, d, PAST_YEAR),
     "projection_rag_config": _rag_config,
 }

@@ -26,13 +26,15 @@ def signal_count(cusum_results: DataFrame) -> DataFrame:
     )
 
 
-def largest_shifts(changepoint_results: DataFrame, limit: int = 50) -> DataFrame:
-    """The shifts with the greatest magnitude first."""
+def _first(ordered: DataFrame, limit: int | None) -> DataFrame:
+    return ordered if limit is None else ordered.limit(limit)
+
+
+def largest_shifts(changepoint_results: DataFrame, limit: int | None = None) -> DataFrame:
+    """The shifts with the greatest magnitude first; all unless a ``limit`` is asked for."""
+    ordered = changepoint_results.orderBy(F.abs("shift_magnitude").desc(), *SERIES_KEY, "changepoint_period")
     return (
-        changepoint_results.orderBy(
-            F.abs("shift_magnitude").desc(), *SERIES_KEY, "changepoint_period"
-        )
-        .limit(limit)
+        _first(ordered, limit)
         .select(
             *SERIES_KEY,
             "changepoint_period",
@@ -44,13 +46,14 @@ def largest_shifts(changepoint_results: DataFrame, limit: int = 50) -> DataFrame
     )
 
 
-def recent_cohorts(cohort_results: DataFrame, week: int = 12, limit: int = 30) -> DataFrame:
-    """Recent cohorts against their baseline at one week, in percent, slowest first."""
+def recent_cohorts(cohort_results: DataFrame, week: int = 12, limit: int | None = None) -> DataFrame:
+    """Recent cohorts against their baseline at one week, in percent, slowest first; all unless a ``limit`` is asked for."""
     known = F.col("pct_open_historical").isNotNull()
+    ordered = cohort_results.where((F.col("weeks_since_intake") == week) & F.col("is_recent_cohort") & known).orderBy(
+        F.col("delta_historical").desc(), "indicator", "cohort_period"
+    )
     return (
-        cohort_results.where((F.col("weeks_since_intake") == week) & F.col("is_recent_cohort") & known)
-        .orderBy(F.col("delta_historical").desc(), "indicator", "cohort_period")
-        .limit(limit)
+        _first(ordered, limit)
         .select(
             "indicator",
             "cohort_period",
@@ -107,15 +110,17 @@ def active_trends(ewma_results: DataFrame, metric: str = "frist_pct") -> DataFra
     )
 
 
-def projection_summary(projection_results: DataFrame, current_year: int, limit: int = 30) -> DataFrame:
-    """Highest rate so far, year-end estimate and December bounds, most at risk first."""
+def projection_summary(
+    projection_results: DataFrame, current_year: int, limit: int | None = None
+) -> DataFrame:
+    """Highest rate so far, year-end estimate and December bounds, most at risk first; all unless a ``limit`` is asked for."""
     actual = F.col("type") == "actual"
     december = (F.col("type") == "forecast") & (F.col("period") == current_year * 100 + 12)
 
     def when_max(test: Column, name: str) -> Column:
         return F.max(F.when(test, F.col(name)))
 
-    return (
+    ordered = (
         projection_results.groupBy("indikator")
         .agg(
             when_max(actual, "verdi").alias("ytd_naa"),
@@ -124,8 +129,8 @@ def projection_summary(projection_results: DataFrame, current_year: int, limit:
             when_max(december, "ci_upper").alias("ci_upper"),
         )
         .orderBy("prognose_aarslutt", "indikator")
-        .limit(limit)
     )
+    return _first(ordered, limit)
 
 
 def snapshot_audit(snapshots: DataFrame, batch_id: str) -> DataFrame:

@@ -14,105 +14,134 @@ from casepulse.functions import round4
 SERIES_KEY = ("indicator", "metric", "granularity")
 
 
-_BIGINT, _INT, _DOUBLE = T.LongType(), T.IntegerType(), T.DoubleType()
-_STRING, _BOOLEAN, _DATE, _TIMESTAMP = T.StringType(), T.BooleanType(), T.DateType(), T.TimestampType()
-
+REQUIRED, OPTIONAL = False, True
+_KINDS = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+}
 
-def _schema(required: dict[str, T.DataType], optional: dict[str, T.DataType], *order: str) -> T.StructType:
-    """A schema from NOT NULL and nullable columns, in that order unless one is given."""
-    names = order or (*required, *optional)
-    return T.StructType([T.StructField(n, (required | optional)[n], n not in required) for n in names])
 
+def _schema(*columns: tuple[str, str, bool]) -> T.StructType:
+    """A schema from name, type and whether NULL is allowed."""
+    return T.StructType([T.StructField(name, _KINDS[kind], null) for name, kind, null in columns])
 
-_SERIES_COLUMNS = {"indicator": _STRING, "metric": _STRING, "granularity": _STRING}
 
 CASES = _schema(
-    {"case_id": _BIGINT},
-    {
-        "indicator": _STRING,
-        "start_date": _DATE,
-        "stop_date": _DATE,
-        "end_date": _DATE,
-        "deadline": _DATE,
-        "agg_deadline": _DATE,
-        "on_time": _INT,
-        "duration": _DOUBLE,
-    },
+    ("case_id", "bigint", REQUIRED),
+    ("indicator", "string", OPTIONAL),
+    ("start_date", "date", OPTIONAL),
+    ("stop_date", "date", OPTIONAL),
+    ("end_date", "date", OPTIONAL),
+    ("deadline", "date", OPTIONAL),
+    ("agg_deadline", "date", OPTIONAL),
+    ("on_time", "int", OPTIONAL),
+    ("duration", "double", OPTIONAL),
+)
+MILESTONES = _schema(
+    ("case_id", "bigint", REQUIRED),
+    ("milestone", "string", OPTIONAL),
+    ("milestone_ts", "timestamp", OPTIONAL),
+)
+SERIES = _schema(
+    ("indicator", "string", REQUIRED),
+    ("metric", "string", REQUIRED),
+    ("granularity", "string", REQUIRED),
+    ("period", "int", REQUIRED),
+    ("value", "double", OPTIONAL),
 )
-MILESTONES = _schema({"case_id": _BIGINT}, {"milestone": _STRING, "milestone_ts": _TIMESTAMP})
-SERIES = _schema({**_SERIES_COLUMNS, "period": _INT}, {"value": _DOUBLE})
 INDICATOR_CONFIG = _schema(
-    {"indikator": _STRING, "target": _INT, "target_red": _DOUBLE, "target_amber": _DOUBLE}, {}
+    ("indikator", "string", REQUIRED),
+    ("target", "int", REQUIRED),
+    ("target_red", "double", REQUIRED),
+    ("target_amber", "double", REQUIRED),
+)
+ALERT_CONFIG = _schema(
+    ("indikator", "string", OPTIONAL),
+    ("terskel_amber", "double", OPTIONAL),
+    ("aktiv", "boolean", OPTIONAL),
 )
-ALERT_CONFIG = _schema({}, {"indikator": _STRING, "terskel_amber": _DOUBLE, "aktiv": _BOOLEAN})
-
-
-def _result(required: dict[str, T.DataType], optional: dict[str, T.DataType], *order: str) -> T.StructType:
-    stamped = T.StructType(
-        [T.StructField("computed_at", _TIMESTAMP, False), T.StructField("batch_id", _STRING, False)]
-    )
-    return T.StructType([*_schema(required, optional, *order), *stamped])
-
 
 # Names, order and types of the result tables are the contract with their readers.
 RESULTS: dict[str, T.StructType] = {
-    "cusum_results": _result(
-        {**_SERIES_COLUMNS, "period": _INT, "signal": _BOOLEAN},
-        {"value": _DOUBLE, "cusum_pos": _DOUBLE, "cusum_neg": _DOUBLE, "signal_direction": _STRING},
-        *_SERIES_COLUMNS,
-        *("period", "value", "cusum_pos", "cusum_neg", "signal", "signal_direction"),
+    "cusum_results": _schema(
+        ("indicator", "string", REQUIRED),
+        ("metric", "string", REQUIRED),
+        ("granularity", "string", REQUIRED),
+        ("period", "int", REQUIRED),
+        ("value", "double", OPTIONAL),
+        ("cusum_pos", "double", OPTIONAL),
+        ("cusum_neg", "double", OPTIONAL),
+        ("signal", "boolean", REQUIRED),
+        ("signal_direction", "string", OPTIONAL),
+        ("computed_at", "timestamp", REQUIRED),
+        ("batch_id", "string", REQUIRED),
     ),
-    "changepoint_results": _result(
-        {**_SERIES_COLUMNS, "changepoint_period": _INT},
-        {
-            "mean_before": _DOUBLE,
-            "mean_after": _DOUBLE,
-            "shift_magnitude": _DOUBLE,
-            "shift_direction": _STRING,
-            "n_obs_before": _INT,
-            "n_obs_after": _INT,
-        },
+    "changepoint_results": _schema(
+        ("indicator", "string", REQUIRED),
+        ("metric", "string", REQUIRED),
+        ("granularity", "string", REQUIRED),
+        ("changepoint_period", "int", REQUIRED),
+        ("mean_before", "double", OPTIONAL),
+        ("mean_after", "double", OPTIONAL),
+        ("shift_magnitude", "double", OPTIONAL),
+        ("shift_direction", "string", OPTIONAL),
+        ("n_obs_before", "int", OPTIONAL),
+        ("n_obs_after", "int", OPTIONAL),
+        ("computed_at", "timestamp", REQUIRED),
+        ("batch_id", "string", REQUIRED),
     ),
-    "cohort_results": _result(
-        {
-            "indicator": _STRING,
-            "cohort_period": _INT,
-            "cohort_size": _INT,
-            "weeks_since_intake": _INT,
-            "open_count": _INT,
-            "pct_open": _DOUBLE,
-            "is_recent_cohort": _BOOLEAN,
-        },
-        {"pct_open_historical": _DOUBLE, "delta_historical": _DOUBLE},
-        *("indicator", "cohort_period", "cohort_size", "weeks_since_intake", "open_count"),
-        *("pct_open", "pct_open_historical", "delta_historical", "is_recent_cohort"),
+    "cohort_results": _schema(
+        ("indicator", "string", REQUIRED),
+        ("cohort_period", "int", REQUIRED),
+        ("cohort_size", "int", REQUIRED),
+        ("weeks_since_intake", "int", REQUIRED),
+        ("open_count", "int", REQUIRED),
+        ("pct_open", "double", REQUIRED),
+        ("pct_open_historical", "double", OPTIONAL),
+        ("delta_historical", "double", OPTIONAL),
+        ("is_recent_cohort", "boolean", REQUIRED),
+        ("computed_at", "timestamp", REQUIRED),
+        ("batch_id", "string", REQUIRED),
     ),
-    "ewma_results": _result(
-        {"indicator": _STRING, "metric": _STRING, "period": _INT},
-        {
-            "value_raw": _DOUBLE,
-            "ewma_slow": _DOUBLE,
-            "ewma_fast": _DOUBLE,
-            "ewma_slope_slow": _DOUBLE,
-            "ewma_slope_fast": _DOUBLE,
-            "trend_direction": _STRING,
-        },
+    "ewma_results": _schema(
+        ("indicator", "string", REQUIRED),
+        ("metric", "string", REQUIRED),
+        ("period", "int", REQUIRED),
+        ("value_raw", "double", OPTIONAL),
+        ("ewma_slow", "double", OPTIONAL),
+        ("ewma_fast", "double", OPTIONAL),
+        ("ewma_slope_slow", "double", OPTIONAL),
+        ("ewma_slope_fast", "double", OPTIONAL),
+        ("trend_direction", "string", OPTIONAL),
+        ("computed_at", "timestamp", REQUIRED),
+        ("batch_id", "string", REQUIRED),
     ),
-    "portefolje_snapshot": _result(
-        {
-            "snapshot_month": _DATE,
-            "indikator": _STRING,
-            "open_total": _INT,
-            "open_workable": _INT,
-            "open_paused": _INT,
-            "open_mini_hearing": _INT,
-            "tidligbehandling_count": _INT,
-        },
-        {},
+    "portefolje_snapshot": _schema(
+        ("snapshot_month", "date", REQUIRED),
+        ("indikator", "string", REQUIRED),
+        ("open_total", "int", REQUIRED),
+        ("open_workable", "int", REQUIRED),
+        ("open_paused", "int", REQUIRED),
+        ("open_mini_hearing", "int", REQUIRED),
+        ("tidligbehandling_count", "int", REQUIRED),
+        ("computed_at", "timestamp", REQUIRED),
+        ("batch_id", "string", REQUIRED),
     ),
-    "projection_results": _result(
-        {"indikator": _STRING, "period": _INT, "type": _STRING},
-        {"verdi": _DOUBLE, "ci_lower": _DOUBLE, "ci_upper": _DOUBLE, "year_end_estimate": _DOUBLE},
+    "projection_results": _schema(
+        ("indikator", "string", REQUIRED),
+        ("period", "int", REQUIRED),
+        ("type", "string", REQUIRED),
+        ("verdi", "double", OPTIONAL),
+        ("ci_lower", "double", OPTIONAL),
+        ("ci_upper", "double", OPTIONAL),
+        ("year_end_estimate", "double", OPTIONAL),
+        ("computed_at", "timestamp", REQUIRED),
+        ("batch_id", "string", REQUIRED),
     ),
 }
 

@@ -1,16 +1,15 @@
 """Catalog tables for the results.
 
 Writes go through Spark's own commit protocol. Replacing one partition is a single dynamic
-overwrite, so readers never see it half gone and a rerun after a lost job is safe.
+overwrite, so readers never see it half gone, a failed write replaces nothing, a rerun after a
+lost job is safe, and no session setting is touched.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,38 +81,36 @@ def overwrite(df: DataFrame, table: str, schema: T.StructType, *, fmt: str = "pa
         rows.write.mode("overwrite").format(fmt).saveAsTable(table)
 
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Overwrite only the partitions written to; ``insertInto`` takes this from the session alone."""
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
-
-
 def replace_partition(
     df: DataFrame, table: str, schema: T.StructType, partition: T.StructField, value: date | int
 ) -> None:
-    """Replace the rows of one partition value by ``df`` and leave all others.
+    """Replace the rows of one partition value by ``df``, also by nothing, and leave all others.
 
-    A dynamic overwrite with no rows replaces nothing. So if the partition still consists of
-    the very files it had before, it is stale, and is dropped; only file names are looked at.
+    A row of ``df`` that names another value fails the write before anything is replaced.
     """
-    spark = df.sparkSession
     rows = conform(df, schema)
+    if partition.name in schema.names:
+        named = F.col(partition.name)
+        complaint = F.raise_error(F.concat(F.lit(f"row outside {partition.name} = {value}: "), named.cast("string")))
+        # Tested in a column that is written: a bare filter would drop such rows unseen.
+        kept = next(name for name in schema.names if name != partition.name)
+        tested = F.when(named == F.lit(value), F.col(kept)).otherwise(complaint.cast(schema[kept].dataType))
+        rows = rows.withColumn(kept, tested)
+    spark = df.sparkSession
+    columns = spark.table(table).columns
     if partition.name not in schema.names:
         rows = rows.withColumn(partition.name, F.lit(value).cast(partition.dataType))
-
-    def files() -> set[str]:
-        spark.catalog.refreshTable(table)
-        return set(spark.table(table).where(F.col(partition.name) == F.lit(value)).inputFiles())
-
-    before = files()
-    with _dynamic_overwrite(spark):
-        rows.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
-    if before & files():
-        literal = f"DATE '{value}'" if isinstance(value, date) else str(value)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{partition.name}` = {literal})")
+    written = Observation()
+    counted = rows.select(*columns).observe(written, F.count(F.lit(1)).alias("n"))
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} WITH ('partitionOverwriteMode' = 'dynamic') "
+        f"PARTITION (`{partition.name}`) SELECT * FROM {{rows}}",
+        rows=counted,
+    )
+    if written.get["n"] == 0:  # a dynamic overwrite by nothing leaves what was there
+        literal = f"DATE '{value}'" if isinstance(value, date) else str(int(value))
+        others = [name for name in columns if name != partition.name]
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION (`{partition.name}` = {literal}) SELECT * FROM {{rows}}",
+            rows=rows.select(*others).where("false"),
+        )

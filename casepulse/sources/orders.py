@@ -35,37 +35,35 @@ def _days_allowed(priority: Column) -> Column:
     return days
 
 
-def order_cases(spark: SparkSession, folder: str, as_of: date) -> DataFrame:
-    """The orders placed by ``as_of``, as that day knows them.
+def order_cases(spark: SparkSession, folder: str, as_of: date | None = None) -> DataFrame:
+    """All orders, or those placed by ``as_of`` as that day knows them.
 
-    Line items are folded to the set of their ship dates per order before the join, with
-    map-side combine: one shuffle per table, and an order with very many line items weighs
-    no more than the number of different days. Both tables are large, so the join is asked
-    to merge rather than left to an estimate that might broadcast one.
+    Line items are folded to their different ship dates per order before the join, hashed
+    and with map-side combine, so an order with very many line items weighs no more than the
+    number of days. Both tables are large, so the join is asked to merge rather than left to
+    an estimate that might broadcast one.
     """
     ordered = F.col("o_orderdate").cast("date")
     shipped = F.col("l_shipdate").cast("date")
-    orders = (
-        _table(spark, folder, "orders")
-        .where(ordered <= F.lit(as_of))
-        .select(
-            F.col("o_orderkey").alias("case_id"),
-            F.col("o_orderpriority").alias("indicator"),
-            ordered.alias("start_date"),
-        )
+    orders, items = _table(spark, folder, "orders"), _table(spark, folder, "lineitem")
+    if as_of is not None:
+        orders, items = orders.where(ordered <= F.lit(as_of)), items.where(shipped <= F.lit(as_of))
+    orders = orders.select(
+        F.col("o_orderkey").alias("case_id"),
+        F.col("o_orderpriority").alias("indicator"),
+        ordered.alias("start_date"),
     )
-    shipments = (
-        _table(spark, folder, "lineitem")
-        .where(shipped <= F.lit(as_of))
-        .groupBy(F.col("l_orderkey").alias("case_id"))
-        .agg(F.collect_set(shipped).alias("ship_dates"))
+    shipments = items.select(F.col("l_orderkey").alias("case_id"), shipped.alias("shipped")).distinct()
+    in_time = shipments.shipped >= orders.start_date
+    placed = [orders[name] for name in ("case_id", "indicator", "start_date")]
+    first = (
+        orders.join(shipments.hint("merge"), (orders.case_id == shipments.case_id) & in_time, "left")
+        .groupBy(*placed)
+        .agg(F.min("shipped").alias("stop_date"))
     )
-    since_start = F.filter("ship_dates", lambda day: day >= F.col("start_date"))
     deadline = F.date_add("start_date", _days_allowed(F.col("indicator")))
     return (
-        orders.join(shipments.hint("merge"), "case_id", "left")
-        .select("case_id", "indicator", "start_date", F.array_min(since_start).alias("stop_date"))
-        .withColumn("deadline", deadline)
+        first.withColumn("deadline", deadline)
         .select(
             "case_id",
             "indicator",

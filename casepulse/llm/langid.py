@@ -56,13 +56,13 @@ _FOLD = _fold_table()
 
 
 def letters(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Folded letters of rows of UTF-8 bytes, each row with a space before and after, and the rows' edges."""
+    """Folded letters of rows of UTF-8 bytes, each row with a space before it, and the rows' edges."""
     points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), "<u4")
     lead = (data & 0xC0) != 0x80
     starts = np.concatenate([[0], np.cumsum(lead)])[edges]
     folded = np.where(points < len(_FOLD), _FOLD[np.minimum(points, len(_FOLD) - 1)], points)
-    out = np.insert(folded, starts, SPACE)  # one before each row and one at the very end
-    starts = starts + np.arange(len(starts))
+    out = np.insert(folded, starts[:-1], SPACE)
+    starts = starts + np.arange(len(starts))  # with the spaces put in
     repeated = np.zeros(len(out), bool)
     repeated[1:] = (out[1:] == SPACE) & (out[:-1] == SPACE)
     repeated[starts[:-1]] = False
@@ -129,6 +129,8 @@ class Model:
         n_letters = sums((stream != SPACE).astype(np.int64), first)
         padded = np.concatenate([np.full(ORDER, SPACE, np.uint64), stream])
         total = np.zeros((len(first) - 1, len(self.languages)))
+        if not self.languages:
+            return total, n_letters
         at = 0
         while at < len(first) - 1:  # blocks of rows, a long row in blocks of letters
             to = max(at + 1, int(np.searchsorted(first, first[at] + CHARS, side="right")) - 1)

@@ -105,15 +105,6 @@ def _fill(form: Column, digits: Column) -> Column:
     return F.aggregate(_chars(form), start, step, lambda held: held["out"])
 
 
-def _permuted_digits(digits: Column, domain: str) -> Column:
-    """Up to 18 digits permuted among all strings of as many digits; none stay none."""
-    n = F.length(digits)
-    half = F.floor(n / 2)
-    power = lambda k: F.element_at(F.array(*(F.lit(10**i).cast("bigint") for i in range(10))), (k + 1).cast("int"))
-    value = permute(digits.try_cast("bigint"), power(half), power(n - half), F.concat(F.lit(domain), n.cast("string")))
-    return F.when(n == 0, digits).otherwise(F.lpad(value.cast("string"), n, "0"))
-
-
 def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda a, x: a + x)
 
@@ -140,42 +131,48 @@ def _mod97(value: Column) -> Column:
     return F.aggregate(_chars(turned), F.lit(0), step)
 
 
-def _card(value: Column) -> Column:
+def _power(k: Column) -> Column:
+    return F.element_at(F.array(*(F.lit(10**i).cast("bigint") for i in range(10))), (k + 1).cast("int"))
+
+
+def _country_code(value: Column) -> Column:
+    """The digits of a telephone number that stay: those before the first mark, or the first one."""
+    return _digits(F.regexp_extract(value, r"^\+\d{1,3}(?!\d)|^\+\d", 0))
+
+
+def _account(value: Column) -> Column:
+    """The digits of a bank account number behind country and check digits."""
+    return _digits(F.substr(F.regexp_replace(value, " ", ""), F.lit(5)))
+
+
+def _moving(value: Column, kind: Column) -> Column:
+    """The digits that are permuted: up to 18. Of an account the last 16, of a card all but network and check digit."""
     digits = _digits(value)
-    n = F.length(digits)
-    body = F.concat(
-        F.substr(digits, F.lit(1), F.lit(4)), _permuted_digits(F.substr(digits, F.lit(5), n - 5), "card")
-    )
+    card = F.substr(digits, F.lit(5), F.length(digits) - 5)
+    iban = F.substr(_account(value), F.greatest(F.length(_account(value)) - 16, F.lit(0)) + 1)
+    phone = F.substr(digits, F.length(_country_code(value)) + 1)
+    return F.when(kind == "card", card).when(kind == "iban", iban).when(kind == "phone", phone).when(kind == "ssn", digits)
+
+
+def _card(value: Column, moved: Column) -> Column:
+    body = F.concat(F.substr(_digits(value), F.lit(1), F.lit(4)), moved)
     check = F.pmod(-_luhn(F.concat(body, F.lit("0"))), F.lit(10))
     return _fill(value, F.concat(body, check.cast("string")))
 
 
-def _iban(value: Column) -> Column:
-    """The last digits of the account, at most 16, are permuted; the check digits follow."""
+def _iban(value: Column, moved: Column) -> Column:
     plain = F.regexp_replace(value, " ", "")
-    tail = _digits(F.substr(plain, F.lit(5)))
-    kept = F.greatest(F.length(tail) - 16, F.lit(0))
-    moved = F.concat(F.substr(tail, F.lit(1), kept), _permuted_digits(F.substr(tail, kept + 1), "iban"))
-    open_ = F.concat(F.substr(plain, F.lit(1), F.lit(2)), F.lit("00"), _fill(F.substr(plain, F.lit(5)), moved))
+    tail = F.concat(F.substr(_account(value), F.lit(1), F.greatest(F.length(_account(value)) - 16, F.lit(0))), moved)
+    open_ = F.concat(F.substr(plain, F.lit(1), F.lit(2)), F.lit("00"), _fill(F.substr(plain, F.lit(5)), tail))
     check = F.lpad((98 - _mod97(open_)).cast("string"), 2, "0")
-    return _fill(value, F.concat(check, moved))
-
-
-def _phone(value: Column) -> Column:
-    """The country code stays."""
-    code = _digits(F.regexp_extract(value, r"^\+\d{1,3}(?!\d)|^\+\d", 0))
-    rest = F.substr(_digits(value), F.length(code) + 1)
-    return _fill(value, F.concat(code, _permuted_digits(rest, "phone")))
+    return _fill(value, F.concat(check, tail))
 
 
 def _octets(value: Column) -> Column:
     return F.transform(F.split(value, r"\."), lambda x: x.try_cast("bigint"))
 
 
-def _ip(value: Column) -> Column:
-    number = F.aggregate(_octets(value), F.lit(0).cast("bigint"), lambda a, x: a * 256 + x)
-    half = F.lit(1 << 16).cast("bigint")
-    moved = permute(number, half, half, F.lit("ip"))
+def _ip(moved: Column) -> Column:
     parts = F.transform(
         F.array(*(F.lit(1 << s).cast("bigint") for s in (24, 16, 8, 0))),
         lambda unit: F.pmod(F.call_function("div", moved, unit), F.lit(256)).cast("string"),
@@ -201,14 +198,11 @@ def _day(value: Column) -> Column:
     return F.when(F.year(named).between(1800, 2199), named)
 
 
-def _date(value: Column) -> Column:
-    """Another of the 146097 = 189 * 773 days of the four centuries, written alike."""
-    first = F.lit("1800-01-01").cast("date")
-    low, high = (F.lit(x).cast("bigint") for x in (189, 773))
-    moved = F.date_add(first, permute(F.datediff(_day(value), first).cast("bigint"), low, high, F.lit("date")).cast("int"))
-    day_first = _date_parts(value)[0]
-    text = lambda form: F.date_format(moved, form)
-    slashed = F.when(day_first, text("dd/MM/yyyy")).otherwise(text("MM/dd/yyyy"))
+def _date(value: Column, moved: Column) -> Column:
+    """A day of the four centuries by its number, written as the value is."""
+    day = F.date_add(F.lit("1800-01-01").cast("date"), moved.cast("int"))
+    text = lambda form: F.date_format(day, form)
+    slashed = F.when(_date_parts(value)[0], text("dd/MM/yyyy")).otherwise(text("MM/dd/yyyy"))
     return F.when(value.contains("-"), text("yyyy-MM-dd")).when(value.contains("."), text("dd.MM.yyyy")).otherwise(slashed)
 
 
@@ -262,21 +256,45 @@ def _of_kind(value: Column) -> Column:
     return kind.when(issued, F.lit("card"))
 
 
-def _pseudonym(value: Column) -> Column:
-    kind = _of_kind(value)
-    made = {
-        "mail": _mail(value),
-        "iban": _iban(value),
-        "phone": _phone(value),
-        "ip": _ip(value),
-        "ssn": _fill(value, _permuted_digits(_digits(value), "ssn")),
-        "date": _date(value),
-        "card": _card(value),
-    }
-    out = value
-    for name, pseudonym in made.items():
-        out = F.when(kind == name, pseudonym).otherwise(out)
-    return out
+def _pseudonyms(matches: Column) -> Column:
+    """For each match its pseudonym, or the match itself if it fails its check.
+
+    In steps, each over the fields that the step before has made: the kind, the number and its
+    domain, the permuted number, the text.
+    """
+    first = F.lit("1800-01-01").cast("date")
+    kinds = F.transform(matches, lambda v: F.struct(v.alias("v"), _of_kind(v).alias("k")))
+    parts = F.transform(kinds, lambda x: F.struct(x["v"].alias("v"), x["k"].alias("k"), _moving(x["v"], x["k"]).alias("d")))
+
+    def domain(x: Column) -> Column:
+        ip, date, n = x["k"] == "ip", x["k"] == "date", F.length(x["d"])
+        address = F.aggregate(_octets(x["v"]), F.lit(0).cast("bigint"), lambda a, octet: a * 256 + octet)
+        number = F.when(ip, address).when(date, F.datediff(_day(x["v"]), first).cast("bigint"))
+        square, half = F.lit(1 << 16).cast("bigint"), F.floor(n / 2)
+        low = F.when(ip, square).when(date, F.lit(189).cast("bigint")).otherwise(_power(half))
+        high = F.when(ip, square).when(date, F.lit(773).cast("bigint")).otherwise(_power(n - half))
+        return F.struct(
+            *(x[name].alias(name) for name in ("v", "k", "d")),
+            number.otherwise(F.when(n > 0, x["d"].try_cast("bigint"))).alias("number"),
+            low.alias("low"),
+            high.alias("high"),
+            F.concat_ws("", x["k"], n.cast("string")).alias("domain"),
+        )
+
+    def moved(x: Column) -> Column:
+        found = F.when(x["number"].isNotNull(), permute(x["number"], x["low"], x["high"], x["domain"]))
+        digits = F.coalesce(F.lpad(found.cast("string"), F.length(x["d"]), F.lit("0")), F.lit(""))
+        return F.struct(x["v"].alias("v"), x["k"].alias("k"), found.alias("p"), digits.alias("q"))
+
+    def written(x: Column) -> Column:
+        kind = x["k"]
+        out = F.when(kind == "mail", _mail(x["v"])).when(kind == "card", _card(x["v"], x["q"]))
+        out = out.when(kind == "iban", _iban(x["v"], x["q"])).when(kind == "ip", _ip(x["p"]))
+        out = out.when(kind == "phone", _fill(x["v"], F.concat(_country_code(x["v"]), x["q"])))
+        out = out.when(kind == "ssn", _fill(x["v"], x["q"])).when(kind == "date", _date(x["v"], x["p"]))
+        return out.otherwise(x["v"])
+
+    return F.transform(F.transform(F.transform(parts, domain), moved), written)
 
 
 def _matches(text: Column) -> Column:
@@ -292,8 +310,8 @@ def pseudonymise(text: Column) -> Column:
     """The text with its personal values replaced."""
     joined = F.zip_with(
         F.split(text, PATTERN, -1),
-        _matches(text),
-        lambda gap, match: F.concat(gap, F.when(match.isNull(), F.lit("")).otherwise(_pseudonym(match))),
+        _pseudonyms(_matches(text)),
+        lambda gap, pseudonym: F.concat(gap, F.coalesce(pseudonym, F.lit(""))),
     )
     return F.when(_may_hold(text), F.array_join(joined, "")).otherwise(text)
 

@@ -9,8 +9,8 @@ fingerprints agree there.
 
 Copies of a fingerprint are folded before anything is paired. A bucket is compared in blocks
 inside a task and yields a spanning forest, never all its pairs. A bucket above ``most`` is not
-compared: its members are masked again by a second and a third family, of which each again
-covers every linked pair, until at most a handful of bits is free and 2^free bounds the bucket.
+compared: its members are masked again by further families, of which each again covers every
+linked pair, until a few bits are free and two to their number bounds the bucket.
 
 Null, empty and wordless texts have fingerprint zero. Repeated rows keep their rows. A null id
 is carried along, and its component takes the smallest id that is not null. Columns of the
@@ -35,7 +35,7 @@ RADIUS = 4
 SHINGLE = 4
 #: Largest bucket that one task compares.
 MOST = 4096
-LEVELS = 3
+LEVELS = 4
 
 
 def shingle_hashes(text: bytes, size: int) -> list[int]:
@@ -144,11 +144,13 @@ def links(prints: DataFrame, radius: int = RADIUS, most: int = MOST) -> DataFram
     Buckets of two need no second look: their least and greatest member are the pair.
     """
     found = None
-    members = prints.select("fp", F.lit(-1).cast("bigint").alias("mask"))
+    members = prints.select("fp", F.lit(0).cast("bigint").alias("mask"))
     for level in range(LEVELS):
         keys = F.explode(F.array(*(F.lit(m) for m in masks(radius, level))))
-        keyed = members.select("fp", F.col("mask").bitwiseAND(keys).alias("mask") if level else keys.alias("mask"))
-        keyed = keyed.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("part"), "fp")
+        # A bucket agrees on every position that one of the masks on the way to it keeps.
+        masked = members.select("fp", "mask", keys.alias("key"))
+        masked = masked.select("fp", F.col("mask").bitwiseOR(F.col("key")).alias("mask"))
+        keyed = masked.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("part"), "fp")
         if level:  # two ways to the same mask are one bucket
             keyed = keyed.distinct()
         sizes = cut(

@@ -49,7 +49,7 @@ class Words:
         return self.data[self.starts[i] : self.ends[i]].tobytes()
 
 
-def slices(texts: pa.Array, most_bytes: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def slices(texts: pa.Array, most_bytes: int = 1 << 17) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Runs of rows of at most ``most_bytes``, or one longer row: first row, bytes, edges. Null is empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -84,7 +84,7 @@ def split(data: np.ndarray, edges: np.ndarray, blank: np.ndarray = BLANK, lower:
     return Words(data, edges, starts, ends, np.searchsorted(starts, edges))
 
 
-@lru_cache(1)
+@lru_cache(None)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
     with np.errstate(over="ignore"):
@@ -104,7 +104,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def hashes(words: Words) -> np.ndarray:
     """A 64-bit hash of each word, the same in every batch."""
     n = len(words.data)
-    up, down = _powers(1 << max(20, int(n).bit_length()))
+    up, down = _powers(1 << max(18, int(n).bit_length()))
     with np.errstate(over="ignore"):
         total = np.zeros(n + 1, np.uint64)
         np.cumsum((words.data.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])

@@ -21,7 +21,7 @@ doc_windows AS (
         FROM docs, (SELECT DISTINCT n FROM item_windows) WHERE len(w) >= n)),
 hits AS (SELECT d.rid, d.i, d.n, b.item_id FROM doc_windows d JOIN item_windows b ON d.n = b.n AND d.words = b.words),
 hit_words AS (
-  SELECT rid, COUNT(DISTINCT at) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS at FROM hits) GROUP BY rid),
+  SELECT rid, COUNT(DISTINCT place) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS place FROM hits) GROUP BY rid),
 hit_items AS (
   SELECT rid, COUNT(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY rid)

@@ -36,7 +36,7 @@ LANGUAGES = 200
 #: One row in so many of the sample calibrates.
 CALIBRATE = 5
 #: Deviations above its language's usual cross-entropy at which a text is rejected.
-MARGIN = 6.0
+MARGIN = 12.0
 SPACE = 32
 CHARS = 1 << 18
 

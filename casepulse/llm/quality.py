@@ -3,7 +3,8 @@
 For each language the shares of character classes and of common words are taken over all of its
 texts. A text is far from its language if the Jensen-Shannon distance of its own shares exceeds
 a limit: symbols, tables and shouting shift the classes of characters, lists of names and word
-salad the common words. Texts too short for shares to mean anything pass.
+salad the common words. Texts too short for shares to mean anything pass. The limit of common
+words is one that a text without any of them exceeds, where its length leaves that no chance.
 
 Common words are exact. A word with a share of ``COMMON`` of a language's words has half of it
 in the partitions where it is at least half as frequent, so tasks pass on only such words, and a
@@ -38,6 +39,8 @@ COMMON, RARE = 0.004, 0.001
 #: Limits of the distances of character classes and of common words, and how long a text must be for each.
 FAR_CHARS, FAR_WORDS = 0.30, 0.42
 LEAST_CHARS, LEAST_JUDGED = 200, 100
+#: Part of the distance of a text without common words from which on a text is far, and deviations left to chance.
+WITHOUT, CHANCE = 0.9, 4.0
 
 # Classes of characters by their first byte: lower and upper letters, digits, blanks, line feeds,
 # sentence marks, symbols, other marks, letters beyond ASCII.
@@ -84,6 +87,18 @@ def jensen_shannon(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip((left + right) / 2, 0.0, 1.0))
 
 
+def word_limits(shares: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+    """The distance above which the common words of a text of so many words are far from the shares.
+
+    Drawn by these shares, eight times the divergence in nats times the words is about a chi-squared value.
+    """
+    none = np.zeros((1, len(shares)))
+    none[0, -1] = 1
+    free = len(shares) - 1
+    chance = np.sqrt((free + CHANCE * np.sqrt(2 * free)) / (8 * np.log(2) * np.maximum(n_words, 1)))
+    return np.minimum(FAR_WORDS, np.maximum(WITHOUT * jensen_shannon(none, shares)[0], chance))
+
+
 def _lang_batches(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     langs = np.asarray(batch.column(0).to_pylist(), object)
     for at, data, edges in slices(batch.column(1)):
@@ -206,12 +221,14 @@ def base_counts(data: np.ndarray, edges: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def distances(data: np.ndarray, edges: np.ndarray, langs: np.ndarray, refs: References) -> tuple[np.ndarray, np.ndarray]:
-    """The distance of each row's characters and of its common words from its language's, or from the nearest."""
+def distances(
+    data: np.ndarray, edges: np.ndarray, langs: np.ndarray, refs: References
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distance of each row's characters and of its common words from its language's, or from the nearest, and the limit of the latter."""
     n = len(edges) - 1
-    chars, of_words = np.zeros(n), np.zeros(n)
+    chars, of_words, limits = np.zeros(n), np.zeros(n), np.full(n, FAR_WORDS)
     if not refs.languages:
-        return chars, of_words
+        return chars, of_words, limits
     shares = char_shares(data, edges)
     words = split(data, edges)
     keys, row = hashes(words), words.rows
@@ -233,7 +250,8 @@ def distances(data: np.ndarray, edges: np.ndarray, langs: np.ndarray, refs: Refe
         at_rows = mine[nearer]
         best[at_rows] = (by_char + by_word)[nearer]
         chars[at_rows], of_words[at_rows] = by_char[nearer], by_word[nearer]
-    return chars, of_words
+        limits[at_rows] = word_limits(refs.shares[k], words.counts()[at_rows])
+    return chars, of_words, limits
 
 
 def judge(docs: DataFrame, refs: References, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -248,10 +266,10 @@ def judge(docs: DataFrame, refs: References, doc_id: str = "doc_id", text: str =
             for at, data, edges in slices(batch.column(1)):
                 n = len(edges) - 1
                 base = base_counts(data, edges)
-                chars, words = distances(data, edges, langs[at : at + n], shared.value)
+                chars, words, limits = distances(data, edges, langs[at : at + n], shared.value)
                 long_chars = base["word_chars"] >= LEAST_CHARS
                 long_words = base["n_words"] >= LEAST_JUDGED
-                far = (long_chars & (chars > FAR_CHARS)) | (long_words & (words > FAR_WORDS))
+                far = (long_chars & (chars > FAR_CHARS)) | (long_words & (words > limits))
                 columns = [*(base[x].astype(np.int64) for x in figures), chars, words, far]
                 yield pa.record_batch(
                     [batch.column(0).slice(at, n), *map(pa.array, columns)], ["doc_id", *figures, "char_distance", "word_distance", "far"]

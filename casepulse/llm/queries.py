@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casepulse.llm import chat, decontamination, langid, licenses, maxent, packing, pii, quality, secrets, simhash
+from casepulse.llm import (
+    chat,
+    decontamination,
+    langid,
+    licenses,
+    maxent,
+    packing,
+    pii,
+    quality,
+    resampling,
+    secrets,
+    simhash,
+    simplex,
+    topk,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 #: The tokenizer files the queries use, in the folder that ``public_tokenizers`` names.
@@ -90,6 +104,21 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op12_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """Queries are the vectors whose id is divisible by 100."""
+    return topk.search(_table(spark, folder, "embeddings"), F.pmod("vec_id", F.lit(100)) == 0)
+
+
+def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    found = simplex.cluster(_table(spark, folder, "embeddings"))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language": op1_language,
     "op2_maxent": op2_maxent,
@@ -101,4 +130,7 @@ QUERIES: dict[str, Query] = {
     "op8_secrets": op8_secrets,
     "op9_chat": op9_chat,
     "op10_decontamination": op10_decontamination,
+    "op11_resampling": op11_resampling,
+    "op12_topk": op12_topk,
+    "op13_centroids": op13_centroids,
 }

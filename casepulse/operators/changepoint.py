@@ -1,7 +1,7 @@
 """Structural changepoints of a series, and the shift in level at each.
 
 The search is a penalised kernel segmentation (Arlot, Celisse and Harchaoui; Killick,
-Fearnhead and Eckley for the recursion). Its dynamic programme has no SQL form, so it is
+Fearnhead and Eckley for the recursion and its pruning). Its dynamic programme has no SQL form, so it is
 the one place where rows pass through Python: once per series, in Arrow batches, on rows
 already aggregated to calendar buckets.
 """
@@ -25,7 +25,8 @@ MIN_SIDE = 3
 def kernel_splitter(min_size: int = MIN_SIZE, penalty: str | float = "log_n_var"):
     """A function from a vector to its optimal segment starts, the leading 0 left out.
 
-    Everything it needs is nested here, so it travels to executors by value.
+    Everything it needs is nested here, so it travels to executors by value. Its ``work`` adds up
+    the kernel values computed.
     """
     if not (penalty in ("log_n_var", "log_n") or isinstance(penalty, (int, float))):
         raise ValueError(f"unknown penalty {penalty!r}")
@@ -65,29 +66,44 @@ def kernel_splitter(min_size: int = MIN_SIZE, penalty: str | float = "log_n_var"
         median = median_squared_gap(x)
         gamma = 1.0 / median if median > 0 else 1.0
         beta = {"log_n_var": np.log(n) * np.var(x), "log_n": np.log(n)}.get(penalty, penalty)
+        if beta > n:  # a segment never costs more than its points, so no break can pay
+            return []
 
         within = np.zeros(n)  # kernel sum of the segment from s up to the newest point
         best = np.full(n + 1, np.inf)
         best[0] = 0.0
         origin = np.zeros(n + 1, dtype=int)
+        useless = np.full(n + 1, n + 1)  # the first end for which a start need not be looked at
+        oldest = 0
         for t in range(1, n + 1):
+            while oldest < t - 1 and useless[oldest] <= t:
+                oldest += 1
             newest = x[t - 1]
-            similar = np.exp(-gamma * (x[: t - 1] - newest) ** 2)
-            within[: t - 1] += 2.0 * np.cumsum(similar[::-1])[::-1]
-            within[:t] += 1.0
+            similar = np.exp(-gamma * (x[oldest : t - 1] - newest) ** 2)
+            within[oldest : t - 1] += 2.0 * np.cumsum(similar[::-1])[::-1]
+            within[oldest:t] += 1.0
+            work[0] += t - oldest
             if t < min_size:
                 continue
-            starts = np.arange(0, t - min_size + 1)
+            starts = np.arange(oldest, t - min_size + 1)
             length = t - starts
-            total = best[starts] + (length - within[starts] / length) + beta
+            spent = best[starts] + (length - within[starts] / length)
+            total = np.where(useless[starts] > t, spent + beta, np.inf)
             origin[t] = starts[np.argmin(total)]
             best[t] = total.min()
+            # Splitting a segment never adds to its cost. So where even without a further break a
+            # start has spent more than the best way to t, going on from t is cheaper for every
+            # end that leaves room for a segment after t.
+            worse = starts[spent > best[t] + 1e-9 * (1.0 + abs(best[t]))]
+            useless[worse] = np.minimum(useless[worse], t + min_size)
 
         found = []
         while (n := int(origin[n])) > 0:
             found.append(n)
         return found[::-1]
 
+    work = [0]
+    split.work = work
     return split
 
 
@@ -102,8 +118,10 @@ def segment_series(
 
     ``penalty`` is the price of a breakpoint: ``log_n_var`` for ln(n) times the variance,
     ``log_n`` for ln(n) (the cost itself has no unit, so this one does not depend on the
-    scale of the values), or a number. Series without a break give no rows. Work is
-    quadratic and memory linear in the length of a series, itself one row per bucket.
+    scale of the values), or a number. Series without a break give no rows. Memory is linear in
+    the length of a series, itself one row per bucket. Starts that cannot be best again are
+    dropped, so work grows with the length times the distance of breaks, and with the square
+    only of stretches without any.
     """
     split = kernel_splitter(min_size, penalty)
 

@@ -15,6 +15,9 @@ EWMA_ALPHAS = {"slow": 0.1, "fast": 0.3}
 TREND_THRESHOLDS = {"frist_pct": 0.002, "tidsbruk": 0.5, "prod_diff": 5.0}
 DEFAULT_THRESHOLD = 0.002
 
+#: Rows that the fold of a series adds to before it begins a new array.
+STRETCH = 128
+
 RISING, FALLING, STABLE = "Stigende", "Synkende", "Stabil"
 
 
@@ -23,11 +26,12 @@ def ewma(series: DataFrame, *, alphas: Mapping[str, float] = EWMA_ALPHAS, min_ro
 
     Adds ``ewma_<speed>`` and ``ewma_slope_<speed>`` per entry of ``alphas``, unrounded.
     Steps follow the rows, so a missing month is not a decay step. Series with fewer than
-    ``min_rows`` values are dropped. The recursion folds an array holding one series, whose
-    length is bounded by the calendar because the input has one row per bucket.
+    ``min_rows`` values are dropped. The recursion folds an array holding one series, stretch by
+    stretch, so that adding a row copies a stretch at most and never the series so far.
     """
     level = {speed: f"ewma_{speed}" for speed in alphas}
     fields = ", ".join(["period: int", "value: double", *[f"{name}: double" for name in level.values()]])
+    row = f"array<struct<{fields}>>"
 
     def step(done: Column, point: Column) -> Column:
         last = F.get(done, F.size(done) - 1)
@@ -40,14 +44,22 @@ def ewma(series: DataFrame, *, alphas: Mapping[str, float] = EWMA_ALPHAS, min_ro
         here = F.struct(point["period"].alias("period"), point["value"].alias("value"), *smoothed)
         return F.concat(done, F.array(here))
 
+    def stretch(done: Column, points: Column) -> Column:
+        """The next points, folded from the last row of the stretch before; its rows stay where they are."""
+        rows = F.aggregate(points, done["last"], step)
+        fresh = F.slice(rows, F.size(done["last"]) + 1, F.lit(STRETCH))
+        return F.struct(F.concat(done["rows"], F.array(fresh)).alias("rows"), F.slice(rows, F.lit(-1), F.lit(1)).alias("last"))
+
     points = F.sort_array(F.collect_list(F.struct("period", "value")))
-    nothing = F.array().cast(f"array<struct<{fields}>>")
+    begins = F.sequence(F.lit(1), F.size("points"), F.lit(STRETCH))
+    stretches = F.transform(begins, lambda at: F.slice("points", at, F.lit(STRETCH)))
+    nothing = F.struct(F.array().cast(f"array<{row}>").alias("rows"), F.array().cast(row).alias("last"))
     smoothed = (
         series.where(F.col("value").isNotNull())
         .groupBy(*SERIES_KEY)
         .agg(points.alias("points"))
-        .where(F.size("points") >= min_rows)
-        .select(*SERIES_KEY, F.inline(F.aggregate("points", nothing, step)))
+        .where(F.size("points") >= F.lit(max(1, min_rows)))
+        .select(*SERIES_KEY, F.inline(F.flatten(F.aggregate(stretches, nothing, stretch, lambda done: done["rows"]))))
     )
     in_order = Window.partitionBy(*SERIES_KEY).orderBy("period")
     return smoothed.withColumns(

@@ -10,6 +10,7 @@ from casepulse.operators.portfolio import (
     latest_milestone,
     open_at,
     portfolio_snapshot,
+    portfolio_snapshots,
     snapshot_month_end,
 )
 from casepulse.operators.profile import profile, series_profile
@@ -36,6 +37,7 @@ __all__ = [
     "metric_series",
     "open_at",
     "portfolio_snapshot",
+    "portfolio_snapshots",
     "profile",
     "project",
     "seasonal_profile",

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -87,32 +90,35 @@ def _milestone_state(milestones: DataFrame, day: date, vocabulary: Vocabulary) -
     buffer has a fixed width, the aggregate hashes instead of sorting, and a case with very
     many milestones is folded to one row per task before the shuffle.
     """
+    rolled = milestones.where(on_or_before(F.col("milestone_ts"), day)).groupBy("case_id").agg(*_newest(milestones, vocabulary))
+    return rolled.select("case_id", *_flags(vocabulary))
+
+
+def _newest(milestones: DataFrame, vocabulary: Vocabulary) -> list[Column]:
+    """Aggregates that the flags of a case follow from: maxima, so they can be taken of one another."""
     name, ts = F.col("milestone"), F.col("milestone_ts")
     states = vocabulary.states()
     code = F.lit(0)
     for state in states:
         code = code + F.when(name > state, 2).when(name == state, 1).otherwise(0)
-    base = 2 * len(states) + 1
-    code_of = {state: 2 * place + 1 for place, state in enumerate(states)}
-    rolled = (
-        milestones.where(on_or_before(ts, day))
-        .groupBy("case_id")
-        .agg(
-            F.max(_moment(milestones) * base + code).alias("latest"),
-            F.max(F.when(name.isin(*vocabulary.paused), ts)).alias("paused_ts"),
-            F.max(F.when(name.isin(*vocabulary.resume), ts)).alias("resumed_ts"),
-        )
-    )
-    state = F.pmod("latest", F.lit(base))
+    return [
+        F.max(_moment(milestones) * (2 * len(states) + 1) + code).alias("latest"),
+        F.max(F.when(name.isin(*vocabulary.paused), ts)).alias("paused_ts"),
+        F.max(F.when(name.isin(*vocabulary.resume), ts)).alias("resumed_ts"),
+    ]
+
+
+def _flags(vocabulary: Vocabulary) -> list[Column]:
+    code_of = {state: 2 * place + 1 for place, state in enumerate(vocabulary.states())}
+    state = F.pmod("latest", F.lit(2 * len(code_of) + 1))
     paused = F.col("paused_ts").isNotNull() & (
         F.col("resumed_ts").isNull() | (F.col("paused_ts") > F.col("resumed_ts"))
     )
-    return rolled.select(
-        "case_id",
+    return [
         paused.alias("is_paused"),
         (~paused & state.isin([code_of[w] for w in vocabulary.workable])).alias("is_workable"),
         (state == code_of[vocabulary.mini_hearing]).alias("is_mini_hearing"),
-    )
+    ]
 
 
 def _flag(name: str) -> Column:
@@ -152,8 +158,9 @@ def early_processing(
         cases.where(_counted(exclude_like))
         .select("case_id", "indicator")
         .join(early, "case_id", "left_semi")
+        .distinct()  # on rows dealt by case already
         .groupBy("indicator")
-        .agg(F.count_distinct("case_id").cast("int").alias("tidligbehandling_count"))
+        .agg(F.count("case_id").cast("int").alias("tidligbehandling_count"))
     )
 
 
@@ -195,3 +202,110 @@ def portfolio_snapshot(
         "open_mini_hearing",
         F.coalesce("tidligbehandling_count", F.lit(0)).alias("tidligbehandling_count"),
     )
+
+
+def _place(moment: Column, days: Sequence[date]) -> Column:
+    """The place of the first of the sorted ``days`` that is not before the moment's day; their number if none is."""
+    first, last = days[0].toordinal(), days[-1].toordinal()
+    listed = ",".join(str(bisect_left(days, date.fromordinal(n))) for n in range(first, last + 1))
+    places = F.split(F.lit(listed), ",").cast("array<int>")  # one literal, folded to a constant
+    since = F.datediff(moment.cast("date"), F.lit(days[0]))
+    return F.when(since <= 0, 0).when(since > last - first, len(days)).otherwise(F.get(places, since))
+
+
+def portfolio_snapshots(
+    cases: DataFrame,
+    milestones: DataFrame,
+    days: Sequence[date],
+    *,
+    vocabulary: Vocabulary = Vocabulary(),
+    exclude_like: str | None = EXCLUDE_AGREED,
+) -> DataFrame:
+    """The rows of ``portefolje_snapshot`` for many month ends, with one scan of each table.
+
+    A case is open from one place in the list of days up to another, so it adds one to a counter
+    there and takes one away at the other; running sums of those counters are the open cases of
+    each day. Milestones are folded to the maxima of each case and stretch between two days,
+    whose running maxima are the state as of each day; a state counts from its day to the next
+    change, cut to the days its case is open. So no row is multiplied by the number of days:
+    what is shuffled grows with the changes of state, and counters are added up in each task.
+    All cases are read, as early processing counts closed ones too.
+    """
+    days = sorted(set(days))
+    if not days:
+        return portfolio_snapshot(cases, milestones, date(1970, 1, 1), vocabulary=vocabulary).where("false")
+    flags = ["is_workable", "is_paused", "is_mini_hearing"]
+    until_last = on_or_before(F.col("milestone_ts"), days[-1])
+    month = F.year("milestone_ts") * 12 + F.month("milestone_ts")
+    early = (F.col("milestone") == vocabulary.early) & month.isin(sorted({d.year * 12 + d.month for d in days}))
+    # An early-processing milestone counts for the whole of the last month, a state up to the day.
+    folded = (
+        milestones.where(F.col("milestone_ts") < F.lit(shift_months(days[-1], 1)))
+        .groupBy(
+            "case_id",
+            F.when(until_last, _place(F.col("milestone_ts"), days)).otherwise(len(days)).alias("since"),
+            F.when(early, month).alias("early_month"),
+        )
+        .agg(*_newest(milestones, vocabulary))
+    )
+    in_order = Window.partitionBy("case_id").orderBy("since", F.col("early_month").asc_nulls_first())
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    running = folded.select(
+        "case_id",
+        "since",
+        F.coalesce(F.lead("since").over(in_order), F.lit(len(days))).alias("until"),
+        F.row_number().over(in_order).alias("row"),
+        *[F.max(name).over(so_far).alias(name) for name in ("latest", "paused_ts", "resumed_ts")],
+        # Months rise with the places, so one that is no higher than before has been counted.
+        F.when(F.col("early_month") > F.coalesce(F.max("early_month").over(before), F.lit(0)), F.col("early_month")).alias("early_month"),
+    )
+    states = running.select("case_id", "since", "until", "row", "early_month", *_flags(vocabulary))
+    known = cases.where(F.col("indicator").isNotNull()).select(
+        "case_id",
+        "indicator",
+        F.coalesce(_place(F.col("start_date"), days), F.lit(len(days))).alias("begun"),
+        F.coalesce(_place(F.col("end_date"), days), F.lit(len(days))).alias("ended"),
+    )
+    joined = known.join(states, "case_id", "left")
+
+    def step(when: Column, kind: int, key: Column, **by: Column | int) -> Column:
+        counted = [F.lit(by.get(name, 0)).cast("int").alias(name) for name in ("is_open", *flags, "early")]
+        return F.when(when, F.struct(F.lit(kind).alias("kind"), key.alias("key"), *counted))
+
+    once = (F.coalesce("row", F.lit(1)) == 1) & (F.col("begun") < F.col("ended"))
+    since, until = F.greatest("since", "begun"), F.least("until", "ended")
+    holds = (since < until) & reduce(Column.__or__, (_flag(f) for f in flags))
+    steps = F.array(
+        step(once, 0, F.col("begun"), is_open=1),
+        step(once, 0, F.col("ended"), is_open=-1),
+        step(holds, 0, since, **{f: _flag(f).cast("int") for f in flags}),
+        step(holds, 0, until, **{f: -_flag(f).cast("int") for f in flags}),
+        step(F.col("early_month").isNotNull() & _counted(exclude_like), 1, F.col("early_month"), early=1),
+    )
+    counters = ["is_open", *flags, "early"]
+    added = (
+        joined.select("indicator", F.explode(F.array_compact(steps)).alias("step"))
+        .groupBy("indicator", "step.kind", "step.key")
+        .agg(*[F.sum(f"step.{name}").alias(name) for name in counters])
+    )
+    # From here on all is bounded by indicators and days.
+    of_indicator = added.groupBy("indicator").agg(F.collect_list(F.struct("kind", "key", *counters)).alias("steps"))
+    listed = F.array(*[F.lit(day) for day in days])
+    rows = of_indicator.select("indicator", "steps", F.posexplode(listed).alias("place", "day"))
+    own_month = F.year("day") * 12 + F.month("day")
+
+    def total(name: str, kind: int, counts) -> Column:
+        chosen = F.filter("steps", lambda s: (s["kind"] == kind) & counts(s["key"]))
+        return F.aggregate(chosen, F.lit(0).cast("bigint"), lambda t, s: t + s[name]).cast("int")
+
+    up_to = {name: total(name, 0, lambda key: key <= F.col("place")) for name in ("is_open", *flags)}
+    return rows.select(
+        F.col("day").alias("snapshot_month"),
+        F.col("indicator").alias("indikator"),
+        up_to["is_open"].alias("open_total"),
+        up_to["is_workable"].alias("open_workable"),
+        up_to["is_paused"].alias("open_paused"),
+        up_to["is_mini_hearing"].alias("open_mini_hearing"),
+        total("early", 1, lambda key: key == own_month).alias("tidligbehandling_count"),
+    ).where("open_total > 0")

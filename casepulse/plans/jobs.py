@@ -8,11 +8,13 @@ never from the lineage.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casepulse.operators import (
     Vocabulary,
@@ -23,6 +25,7 @@ from casepulse.operators import (
     ewma_trend,
     metric_series,
     portfolio_snapshot,
+    portfolio_snapshots,
     project,
     shifts,
     snapshot_month_end,
@@ -31,7 +34,7 @@ from casepulse.operators import (
 )
 from casepulse.operators.series import EXCLUDE_AGREED, START_YEAR
 from casepulse.schemas import INDICATOR_CONFIG, RESULTS, batch_id_of, stamp
-from casepulse.sinks import create_database, overwrite, replace_partition, result_table
+from casepulse.sinks import create_database, overwrite, remove_folder, replace_partitions, result_table
 from casepulse.sinks.tables import PARTITIONED_BY
 from casepulse.sources import indicator_config, read_result
 
@@ -48,8 +51,7 @@ def stored_once(df: DataFrame) -> Iterator[DataFrame]:
         df.write.parquet(path)
         yield df.sparkSession.read.parquet(path)
     finally:
-        place = context._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+        remove_folder(df.sparkSession, path)
 
 
 def _name(name: str, database: str | None) -> str:
@@ -63,10 +65,15 @@ def _store(df: DataFrame, name: str, run_at: datetime, database: str | None, fmt
     return read_result(spark, table)
 
 
-def _replace(df: DataFrame, name: str, value, run_at: datetime, database: str | None, fmt: str) -> DataFrame:
+def _replace(df: DataFrame, name: str, values: Sequence, run_at: datetime, database: str | None, fmt: str) -> DataFrame:
     spark, table = df.sparkSession, _name(name, database)
     result_table(spark, name, table=table, fmt=fmt)
-    replace_partition(stamp(df, batch_id_of(run_at), run_at), table, RESULTS[name], PARTITIONED_BY[name], value)
+    stamped, schema = stamp(df, batch_id_of(run_at), run_at), RESULTS[name]
+    partition = PARTITIONED_BY[name]
+    if partition.name not in schema.names:  # all rows are of one value
+        stamped = stamped.withColumn(partition.name, F.lit(values[0]).cast(partition.dataType))
+        schema = T.StructType([*schema.fields, partition])
+    replace_partitions(stamped, table, schema, partition, values)
     return read_result(spark, table)
 
 
@@ -137,7 +144,23 @@ def portfolio_job(
     """Replace one month of ``portefolje_snapshot``, by default the last one completed."""
     day = snapshot_month or snapshot_month_end(run_at.date())
     rows = portfolio_snapshot(cases, milestones, day, vocabulary=vocabulary, exclude_like=exclude_like)
-    return _replace(rows, "portefolje_snapshot", day, run_at, database, fmt)
+    return _replace(rows, "portefolje_snapshot", [day], run_at, database, fmt)
+
+
+def portfolio_history_job(
+    cases: DataFrame,
+    milestones: DataFrame,
+    run_at: datetime,
+    snapshot_months: Sequence[date],
+    *,
+    vocabulary: Vocabulary = Vocabulary(),
+    exclude_like: str | None = EXCLUDE_AGREED,
+    database: str | None = None,
+    fmt: str = "parquet",
+) -> DataFrame:
+    """Rebuild many months of ``portefolje_snapshot`` in one pass and one write."""
+    rows = portfolio_snapshots(cases, milestones, snapshot_months, vocabulary=vocabulary, exclude_like=exclude_like)
+    return _replace(rows, "portefolje_snapshot", list(snapshot_months), run_at, database, fmt)
 
 
 def projection_job(
@@ -153,7 +176,7 @@ def projection_job(
     """Replace the current year of ``projection_results``."""
     year = current_year or run_at.year
     rows = project(ytd_rate(cases, start_year=start_year, exclude_like=exclude_like), year)
-    return _replace(rows, "projection_results", year, run_at, database, fmt)
+    return _replace(rows, "projection_results", [year], run_at, database, fmt)
 
 
 def config_job(

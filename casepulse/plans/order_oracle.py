@@ -516,6 +516,7 @@ _DAYS = (
     "days",
     f"SELECT unnest([{', '.join(f"DATE '{day}'" for day, _ in SNAPSHOTS)}]) AS snapshot_month",
 )
+_HISTORY = ("days", f"SELECT unnest([{', '.join(f"DATE '{day}'" for day in HISTORY)}]) AS snapshot_month")
 _DAY_ONLY = ("days", f"SELECT {_DAY} AS snapshot_month")
 _OPEN = (
     "open_cases",
@@ -583,6 +584,7 @@ ORACLE |= {
     "case_state": chain(CASES, MILESTONES, _DAY_ONLY, _OPEN, *_STATE, select=f"{_WITHOUT_DAY} state"),
     "early_processing": chain(CASES, MILESTONES, _DAY_ONLY, _EARLY, select=f"{_WITHOUT_DAY} early"),
     "portfolio_snapshot": _snapshot_sql("SELECT * FROM snapshot", _DAY_ONLY),
+    "portfolio_history": _snapshot_sql("SELECT * FROM snapshot", _HISTORY),
     "portfolio_shares": _snapshot_sql(
         """
 SELECT snapshot_month, CAST(SUM(open_workable) AS DOUBLE) / SUM(open_total) AS andel_arbeidbar,

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from datetime import date, datetime
-from functools import reduce
+from collections.abc import Callable, Sequence
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +22,7 @@ from casepulse.operators import (
     metric_series,
     open_at,
     portfolio_snapshot,
+    portfolio_snapshots,
     profile,
     project,
     seasonal_profile,
@@ -33,7 +33,7 @@ from casepulse.operators import (
     ytd_rate,
 )
 from casepulse.plans import measures, reports
-from casepulse.schemas import ALERT_CONFIG, batch_id_of, rounded, stamp
+from casepulse.schemas import ALERT_CONFIG, batch_id_of, rounded
 from casepulse.sources import indicator_config
 from casepulse.sources.orders import ORDER_VOCABULARY, order_cases, order_milestones
 
@@ -48,6 +48,8 @@ SNAPSHOTS = (
     (date(2001, 4, 30), datetime(2001, 6, 30, 6, 0, 0)),
     (date(2001, 5, 31), datetime(2001, 6, 30, 6, 0, 0)),
 )
+#: All month ends of the years the tables cover.
+HISTORY = [date(1995 + m // 12 + (m % 12 == 11), (m + 1) % 12 + 1, 1) - timedelta(days=1) for m in range(84)]
 CURRENT_YEAR = 2001
 #: A year of which December is known, so that nothing is left to forecast.
 PAST_YEAR = 2000
@@ -115,6 +117,12 @@ def _snapshot(spark: SparkSession, folder: str, day: date = SNAPSHOT) -> DataFra
     )
 
 
+def _history(spark: SparkSession, folder: str, days: Sequence[date]) -> DataFrame:
+    return portfolio_snapshots(
+        _cases(spark, folder), order_milestones(spark, folder), days, vocabulary=ORDER_VOCABULARY, exclude_like=EXCLUDE
+    )
+
+
 def _case_state(spark: SparkSession, folder: str) -> DataFrame:
     still_open = open_at(_cases(spark, folder), SNAPSHOT)
     return classify(still_open, order_milestones(spark, folder), SNAPSHOT, ORDER_VOCABULARY)
@@ -131,9 +139,10 @@ def _early(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _snapshots(spark: SparkSession, folder: str) -> DataFrame:
-    """Several month ends with their runs, as the snapshot table holds them."""
-    months = [stamp(_snapshot(spark, folder, day), batch_id_of(run_at), run_at) for day, run_at in SNAPSHOTS]
-    return reduce(DataFrame.unionByName, months)
+    """Several month ends, in one pass, with their runs, as the snapshot table holds them."""
+    rows = _history(spark, folder, [day for day, _ in SNAPSHOTS])
+    runs = [(day, batch_id_of(run_at), run_at) for day, run_at in SNAPSHOTS]
+    return rows.join(spark.createDataFrame(runs, "snapshot_month date, batch_id string, computed_at timestamp"), "snapshot_month")
 
 
 def _audit(spark: SparkSession, folder: str) -> DataFrame:
@@ -201,6 +210,7 @@ QUERIES: dict[str, Query] = {
     "latest_milestone": lambda s, d: latest_milestone(order_milestones(s, d), SNAPSHOT),
     "case_state": _case_state,
     "portfolio_snapshot": _snapshot,
+    "portfolio_history": lambda s, d: _history(s, d, HISTORY),
     "early_processing": _early,
     "portfolio_shares": lambda s, d: measures.portfolio_shares(_snapshots(s, d)),
     "early_share": lambda s, d: measures.early_share(_snapshots(s, d), _cases(s, d)),

@@ -4,8 +4,20 @@ from casepulse.sinks.tables import (
     create_database,
     create_table,
     overwrite,
+    remove_folder,
     replace_partition,
+    replace_partitions,
     result_table,
+    store_clustered,
 )
 
-__all__ = ["create_database", "create_table", "overwrite", "replace_partition", "result_table"]
+__all__ = [
+    "create_database",
+    "create_table",
+    "overwrite",
+    "remove_folder",
+    "replace_partition",
+    "replace_partitions",
+    "result_table",
+    "store_clustered",
+]

@@ -10,15 +10,16 @@ Common words are exact. A word with a share of ``COMMON`` of a language's words
 in the partitions where it is at least half as frequent, so tasks pass on only such words, and a
 second pass counts the few that remain over all texts. Neither result depends on partitioning.
 
-Texts without a language, or of one with less than ``RARE`` of all words, are compared with
-every reference and judged by the nearest. Null and empty texts have no words and fail the base
-rule. Repeated rows keep their rows, a null id is carried along, and other columns are not
-looked at. Empty tables give empty results.
+Every language of at least ``LEAST_OF_LANGUAGE`` words has a reference; texts of one with fewer,
+whose shares mean little, are judged by the base rule alone and have null distances. Texts without
+a language are compared with every reference and judged by the nearest. References are taken and
+used in blocks of ``AT_ONCE`` languages, so what driver and tasks hold does not grow with their
+number. Null and empty texts have no words and fail the base rule. Repeated rows keep their rows,
+a null id is carried along, and other columns are not looked at. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,8 +35,10 @@ from casepulse.llm.words import BLANK, HashIndex, grams, hashes, mix, slices, sp
 SYMBOLS = b"#*$%&|<>"
 LEAST_WORDS, MOST_REPEATED, WINDOW = 50, 50, 3
 
-#: Share of a language's words from which on a word is common, and of all words from which on a language is kept.
-COMMON, RARE = 0.004, 0.001
+#: Share of a language's words from which on a word is common.
+COMMON = 0.004
+#: Words from which on a language has a reference, and languages whose references are held at once.
+LEAST_OF_LANGUAGE, AT_ONCE = 2000, 400
 #: Limits of the distances of character classes and of common words, and how long a text must be for each.
 FAR_CHARS, FAR_WORDS = 0.30, 0.42
 LEAST_CHARS, LEAST_JUDGED = 200, 100
@@ -62,7 +65,7 @@ CLASS = _class_table()
 
 @dataclass
 class References:
-    """For each language the shares of character classes and of its common words, the rest last."""
+    """For each language of a block the shares of character classes and of its common words, the rest last."""
 
     languages: list[str]
     classes: np.ndarray
@@ -156,24 +159,31 @@ def _totals(docs: DataFrame, words: dict[str, np.ndarray]) -> DataFrame:
     return counted.groupBy("lang", "kind", "at").agg(F.sum("count").alias("count"))
 
 
-def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> References:
-    """References of all languages that have enough words; the driver gets at most ``2 / COMMON`` words of each."""
+def references(docs: DataFrame, text: str = "text", lang: str = "lang", at_once: int = AT_ONCE) -> list[References]:
+    """References in blocks of languages by name; of each the driver gets at most ``2 / COMMON`` words, a block at a time."""
     docs = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null")
     found = cut(_candidates(docs).groupBy("lang", "key").agg(F.sum("count").alias("count")))
-    per_lang = found.where("key is null").select("lang", F.col("count").alias("of_lang"))
-    of_all = per_lang.agg(F.sum("of_lang")).first()[0] or 0
-    kept = per_lang.where(F.col("of_lang") >= RARE * of_all)  # at most 1 / RARE rows
-    often = found.where("key is not null").join(F.broadcast(kept), "lang").where(F.col("count") >= COMMON / 2 * F.col("of_lang"))
-    words: dict[str, list[int]] = defaultdict(list)
-    for row in kept.select("lang").collect():
-        words[row["lang"]] = []
-    for row in often.select("lang", "key").collect():
-        words[row["lang"]].append(row["key"])
-    candidates = {k: np.unique(np.asarray(v, np.int64).view(np.uint64)) for k, v in words.items()}
+    kept = found.where("key is null").where(F.col("count") >= LEAST_OF_LANGUAGE).select("lang", F.col("count").alias("of_lang"))
+    blocks, last = [], None
+    while True:
+        block = kept if last is None else kept.where(F.col("lang") > last)
+        block = block.orderBy("lang").limit(at_once)  # at most at_once rows
+        often = found.where("key is not null").join(F.broadcast(block), "lang").where(F.col("count") >= COMMON / 2 * F.col("of_lang"))
+        words: dict[str, list[int]] = {row["lang"]: [] for row in block.collect()}
+        if not words:
+            return blocks
+        for row in often.select("lang", "key").collect():
+            words[row["lang"]].append(row["key"])
+        blocks.append(_referred(docs, {k: np.unique(np.asarray(v, np.int64).view(np.uint64)) for k, v in words.items()}))
+        last = max(words)
+        if len(words) < at_once:
+            return blocks
+
+
+def _referred(docs: DataFrame, candidates: dict[str, np.ndarray]) -> References:
     counts = {k: [np.zeros(CONTINUED), np.zeros(len(v) + 1)] for k, v in candidates.items()}
-    if candidates:
-        for row in _totals(docs, candidates).collect():
-            counts[row["lang"]][row["kind"]][row["at"]] = row["count"]
+    for row in _totals(docs.where(F.col("lang").isin(*candidates)), candidates).collect():
+        counts[row["lang"]][row["kind"]][row["at"]] = row["count"]
     languages, classes, indexes, shares = sorted(candidates), [], [], []
     for name in languages:
         chars, times = counts[name]
@@ -198,8 +208,9 @@ def base_counts(data: np.ndarray, edges: np.ndarray) -> dict[str, np.ndarray]:
         valid = row[WINDOW - 1 :] == row[: 1 - WINDOW]
         keys = mix(three ^ mix(row[: 1 - WINDOW].astype(np.uint64)))[valid]
         order = np.argsort(keys, kind="stable")
-        same = np.concatenate([[False], keys[order][1:] == keys[order][:-1]])
-        twice = same | np.concatenate([same[1:], [False]])
+        same, twice = keys[order][1:] == keys[order][:-1], np.zeros(len(keys), bool)
+        twice[1:] = same
+        twice[:-1] |= same
         starts = np.flatnonzero(valid)[order[twice]]
         for j in range(WINDOW):
             repeated[starts + j] = True
@@ -224,18 +235,20 @@ def base_counts(data: np.ndarray, edges: np.ndarray) -> dict[str, np.ndarray]:
 def distances(
     data: np.ndarray, edges: np.ndarray, langs: np.ndarray, refs: References
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distance of each row's characters and of its common words from its language's, or from the nearest, and the limit of the latter."""
+    """The distance of each row's characters and of its common words from its language's, and the limit of the latter.
+
+    Rows without a language get those of the nearest of the block, rows of other languages NaN.
+    """
     n = len(edges) - 1
-    chars, of_words, limits = np.zeros(n), np.zeros(n), np.full(n, FAR_WORDS)
-    if not refs.languages:
-        return chars, of_words, limits
+    chars, of_words, limits = np.full(n, np.nan), np.full(n, np.nan), np.full(n, FAR_WORDS)
     shares = char_shares(data, edges)
     words = split(data, edges)
     keys, row = hashes(words), words.rows
-    own = np.asarray([refs.languages.index(x) if x in refs.languages else -1 for x in langs], int)
+    place_of = {name: k for k, name in enumerate(refs.languages)}
+    own = np.asarray([-1 if x is None else place_of.get(x, -2) for x in langs], int)
     best = np.full(n, np.inf)
     for k in range(len(refs.languages)):
-        mine = np.flatnonzero((own == k) | (own < 0))
+        mine = np.flatnonzero((own == k) | (own == -1))
         if not len(mine):
             continue
         by_char = jensen_shannon(shares[mine], refs.classes[k])
@@ -254,30 +267,57 @@ def distances(
     return chars, of_words, limits
 
 
-def judge(docs: DataFrame, refs: References, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """A row for each row: the base figures, both distances, ``base_failed`` and ``kept``."""
-    kind = docs.schema[doc_id].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(refs)
-    figures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def _measured(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text``, ``lang`` and the base figures of each row; distances are null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs = np.asarray(batch.column(2).to_pylist(), object)
-            for at, data, edges in slices(batch.column(1)):
-                n = len(edges) - 1
-                base = base_counts(data, edges)
-                chars, words, limits = distances(data, edges, langs[at : at + n], shared.value)
-                long_chars = base["word_chars"] >= LEAST_CHARS
-                long_words = base["n_words"] >= LEAST_JUDGED
-                far = (long_chars & (chars > FAR_CHARS)) | (long_words & (words > limits))
-                columns = [*(base[x].astype(np.int64) for x in figures), chars, words, far]
+            for at, data, edges in slices(batch.column("text")):
+                base, n = base_counts(data, edges), len(edges) - 1
+                unknown = [pa.nulls(n, pa.float64())] * 3
                 yield pa.record_batch(
-                    [batch.column(0).slice(at, n), *map(pa.array, columns)], ["doc_id", *figures, "char_distance", "word_distance", "far"]
+                    [*batch.slice(at, n).columns, *(pa.array(base[x].astype(np.int64)) for x in FIGURES), *unknown],
+                    [*batch.schema.names, *FIGURES, *_DISTANCES],
                 )
 
-    chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    bigints = ", ".join(f"{x} bigint" for x in figures)
-    judged = chosen.mapInArrow(run, f"doc_id {kind}, {bigints}, char_distance double, word_distance double, far boolean")
+    figures = ", ".join([*(f"{x} bigint" for x in FIGURES), *(f"{x} double" for x in _DISTANCES)])
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"doc_id {kind}, text string, lang string, {figures}")
+
+
+_DISTANCES = ("char_distance", "word_distance", "word_limit")
+
+
+def _compared(measured: DataFrame, refs: References) -> DataFrame:
+    """The rows with the distances that one block of references gives, where it has the language or is nearer."""
+    shared = measured.sparkSession.sparkContext.broadcast(refs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs = np.asarray(batch.column("lang").to_pylist(), object)
+            for at, data, edges in slices(batch.column("text")):
+                rows = batch.slice(at, len(edges) - 1)
+                found = np.stack(distances(data, edges, langs[at : at + len(edges) - 1], shared.value))
+                before = np.stack([rows.column(x).to_numpy(zero_copy_only=False).astype(float) for x in _DISTANCES])
+                better = ~np.isnan(found[0]) & ~(found[:2].sum(axis=0) >= before[:2].sum(axis=0))
+                kept = np.where(better, found, before)
+                columns = [pa.array(x, mask=np.isnan(x)) for x in kept]
+                yield pa.record_batch([*rows.columns[: -len(columns)], *columns], rows.schema.names)
+
+    return measured.mapInArrow(run, measured.schema)
+
+
+def judge(docs: DataFrame, refs: list[References], doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """A row for each row: the base figures, both distances, ``base_failed`` and ``kept``."""
+    judged = _measured(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")))
+    for block in refs:
+        judged = _compared(judged, block)
     failed = F.expr(f"n_words < {LEAST_WORDS} or 100 * n_repeat_words > {MOST_REPEATED} * n_words")
-    judged = judged.withColumn("base_failed", failed)
-    return judged.withColumn("kept", ~F.col("base_failed") & ~F.col("far")).drop("far")
+    far_chars = f"word_chars >= {LEAST_CHARS} and char_distance > {FAR_CHARS}"
+    far_words = f"n_words >= {LEAST_JUDGED} and word_distance > word_limit"
+    far = F.coalesce(F.expr(far_chars), F.lit(False)) | F.coalesce(F.expr(far_words), F.lit(False))
+    judged = judged.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & ~far)
+    return judged.drop("text", "lang", "word_limit")

@@ -1,11 +1,13 @@
 """Secrets in texts: known shapes, and random strings by how badly a tokenizer packs them.
 
 Text that people write falls into long tokens of a byte-pair vocabulary; random strings do not.
-A run of letters and digits is taken as a secret if it yields few characters for each token.
-Digests of the usual lengths, universally unique identifiers and names made of words are not.
+A run of letters, digits and marks is taken as a secret if it yields few characters for each
+token, without the words at its ends; otherwise each of its parts between marks is looked at, so
+that words before a secret do not hide it. Digests of the usual lengths, universally unique
+identifiers and plain numbers are left out; names made of words are dense enough to pass.
 
 Spans are in code points, the end exclusive. Those of known shapes always stay, whatever the
-test says of them; a run that overlaps one is not reported again. Null and empty texts have no
+test says of them, and of a run that overlaps them the rest is looked at. Null and empty texts have no
 spans. Repeated rows keep their rows, a null id is carried along, and columns other than the id
 and the text are not looked at. Empty tables give empty results.
 """
@@ -31,14 +33,15 @@ ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 # Words of which one stands in every assignment, as they are looked for first.
 NAMED = re.compile(r"passw|secret|token|api_?key", re.IGNORECASE | re.ASCII)
 
-#: Runs that the tokenizer test looks at, and the characters for each token below which they are random.
+#: Runs and parts of them that the tokenizer test looks at, and the characters for each token below which they are random.
+LEAST_RUN, RATIO = 16, 2.0
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-RATIO = 2.0
+PART = re.compile(r"[A-Za-z0-9]+")
 DIGESTS = (32, 40, 48, 56, 64, 96, 128)
 UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 HEXADECIMAL = re.compile(r"[0-9a-fA-F]+")
-#: Letters with at most a few digits behind, joined by marks: names of things in programs and paths.
-NAME = re.compile(r"[+/_=-]*(?:[A-Za-z][a-z]*|[A-Z]+|[0-9]{1,4})(?:[+/_=-]+(?:[A-Za-z][a-z]*|[A-Z]+|[0-9]{1,4}))*[+/_=-]*")
+#: Characters that are split into tokens at once.
+PIECE = 1024
 
 
 @lru_cache(1)
@@ -66,25 +69,57 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def is_random(run: str, tokens: int, ratio: float = RATIO) -> bool:
-    """Whether a run of so many tokens is neither known nor dense enough to be language."""
-    if len(run) >= ratio * tokens or not re.search("[0-9]", run) or not re.search("[A-Za-z]", run):
+def dense(run: str, encoding, ratio: float = RATIO) -> bool:
+    """Whether a run has as many characters for each token as language has; long runs are split piece by piece."""
+    tokens = sum(len(encoding.encode_ordinary(run[i : i + PIECE])) for i in range(0, len(run), PIECE))
+    return len(run) >= ratio * tokens
+
+
+def is_random(run: str, encoding, ratio: float = RATIO) -> bool:
+    """Whether a run is neither known nor dense enough to be language."""
+    if len(run) < LEAST_RUN or not re.search("[A-Za-z]", run) or UUID.fullmatch(run):
         return False
-    if UUID.fullmatch(run) or NAME.fullmatch(run):
+    if HEXADECIMAL.fullmatch(run) and len(run) in DIGESTS:
         return False
-    return not (HEXADECIMAL.fullmatch(run) and len(run) in DIGESTS)
+    return not dense(run, encoding, ratio)
+
+
+def random_parts(run: str, encoding, ratio: float = RATIO) -> list[tuple[int, int]]:
+    """Start and end of what is random in a run: the whole of it without words at its ends, or parts between marks."""
+    parts = [m.span() for m in PART.finditer(run)]
+    if not is_random(run, encoding, ratio):
+        inner = parts if len(parts) > 1 or parts != [(0, len(run))] else []
+        return [(a, b) for a, b in inner if b - a >= LEAST_RUN and is_random(run[a:b], encoding, ratio)]
+    wordy = [run[a:b].isalpha() and dense(run[a:b], encoding, ratio) for a, b in parts]
+    first, last = 0, len(parts) - 1
+    while first < last and wordy[first]:
+        first += 1
+    while last > first and wordy[last]:
+        last -= 1
+    # Marks belong to the secret where no word was taken away.
+    a = 0 if first == 0 else parts[first][0]
+    b = len(run) if last == len(parts) - 1 else parts[last][1]
+    return [(a, b)] if is_random(run[a:b], encoding, ratio) else [(0, len(run))]
 
 
 def spans(text: str, encoding, ratio: float = RATIO) -> list[tuple[int, int, str]]:
-    """Base spans and random runs that overlap none of them."""
+    """Base spans and what is random outside of them, in one sweep over both."""
     known = base_spans(text)
-    more = []
+    more, k = [], 0
     for m in RUN.finditer(text):
-        run = m[0]
-        if any(a < m.end() and m.start() < b for a, b, _ in known) or not any(c.isdigit() for c in run):
-            continue
-        if is_random(run, len(encoding.encode_ordinary(run)), ratio):
-            more.append((m.start(), m.end(), "random"))
+        at, end = m.span()
+        while k < len(known) and known[k][1] <= at:
+            k += 1
+        # Base spans may overlap one another, so the next run begins with the first that reaches it.
+        j = k
+        while at < end:
+            stop = min(end, known[j][0]) if j < len(known) else end
+            if stop - at >= LEAST_RUN:
+                more += [(at + a, at + b, "random") for a, b in random_parts(text[at:stop], encoding, ratio)]
+            if j == len(known) or known[j][0] >= end:
+                break
+            at = max(at, known[j][1])
+            j += 1
     order = (*KINDS, "random")
     return sorted([*known, *more], key=lambda s: (s[0], order.index(s[2])))
 

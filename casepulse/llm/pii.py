@@ -10,7 +10,10 @@ the network is wrapped round a step by one, which makes the permutation a single
 stands for itself.
 
 Values that fail their check (a number whose check digit is wrong or that no card network
-issues, a month 13) are not touched. Null stays null and a text without values stays as it is.
+issues, a month 13) are not touched. What is shaped like an account number but is none is
+searched again for the other kinds. The key is the caller's to choose and to keep: with it the
+permutation can be undone. Of mail names letters of the common scripts move within their script,
+others of the basic plane within their block of 128, those beyond it stay. Null stays null and a text without values stays as it is.
 The expression is evaluated row by row: repeated rows, hot sources and other columns do not
 matter, and nothing is shuffled.
 """
@@ -20,21 +23,42 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-KEY = "corpus-pseudonyms-1"
 ROUNDS = 4
 
+# Lengths of bank account numbers by country.
+ACCOUNT_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _accounts() -> str:
+    """Account numbers of exactly their country's length, in one piece or in groups of four."""
+    by_length = []
+    for length, countries in ACCOUNT_LENGTHS.items():
+        fours, rest = divmod(length - 4, 4)
+        tail = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+        by_length.append(rf"(?:{'|'.join(countries.split())})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{fours}}}{tail}")
+    return rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(by_length)})(?![\p{{L}}\p{{N}}])"
+
+
 # The shapes of values, by kind, in the order in which they are tried.
 SHAPES = {
     "mail": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.){1,8}[A-Za-z]{2,24}",
-    "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
-    "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\+\d{1,3}(?:[ .-]\d{2,4}){2,4}|\+\d{8,15}"
-    r"|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?!\d)",
+    "iban": _accounts(),
+    # No more digits than a number can have, and a group of digits wholly or not at all.
+    "phone": r"(?<![\p{L}\p{N}+])(?:\+\d(?:[ .()-]{0,2}\d){7,14}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4}"
+    r"|[2-9]\d{2}(?:\.\d{3}\.| \d{3} )\d{4})(?![\d.]\d|\d)",
     "ip": r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?![\d/-]|\.\d)",
-    "card": r"(?<![\p{L}\d])(?:\d{13,19}|\d{4} \d{4} \d{4} \d{4}|\d{4}-\d{4}-\d{4}-\d{4}|\d{4} \d{6} \d{5}|\d{4}-\d{6}-\d{5})(?![\p{L}\d])",
+    "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?![\d/-]|\.\d)",
+    "card": r"(?<![\p{L}\d])(?=[2-6])(?:\d{13,19}|\d{4} \d{4} \d{4} \d{4}|\d{4}-\d{4}-\d{4}-\d{4}|\d{4} \d{6} \d{5}|\d{4}-\d{6}-\d{5})(?![\p{L}\d])",
 }
 PATTERN = "|".join(f"(?:{shape})" for shape in SHAPES.values())
+#: What is looked for in an account number that fails its check.
+WITHIN = "|".join(f"(?:{shape})" for kind, shape in SHAPES.items() if kind != "iban")
 #: Card networks: leading digits and lengths.
 CARDS = (
     r"4(?:\d{12}|\d{15}|\d{18})|5[1-5]\d{14}|2(?:22[1-9]|2[3-9]\d|[3-6]\d\d|7[01]\d|720)\d{12}"
@@ -42,13 +66,13 @@ CARDS = (
 )
 
 
-def _number(domain: Column, turn: int, part: Column, below: Column) -> Column:
+def _number(key: str, domain: Column, turn: int, part: Column, below: Column) -> Column:
     """A keyed hash of one part as a number below a bound."""
-    digest = F.sha2(F.concat_ws("|", F.lit(KEY), domain, F.lit(str(turn)), part.cast("string")), 256)
+    digest = F.sha2(F.concat_ws("|", F.lit(key), domain, F.lit(str(turn)), part.cast("string")), 256)
     return F.pmod(F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint"), below)
 
 
-def permute(value: Column, low: Column, high: Column, domain: Column) -> Column:
+def permute(value: Column, low: Column, high: Column, domain: Column, key: str) -> Column:
     """A keyed permutation without fixed points of the numbers below ``low * high``.
 
     A number is ``left * high + right``. One round adds to the left part modulo ``low``, the
@@ -62,8 +86,8 @@ def permute(value: Column, low: Column, high: Column, domain: Column) -> Column:
     def one(state: Column, turn: int, sign: int) -> Column:
         left, right = state["l"], state["r"]
         if turn % 2:
-            return pair(left, F.pmod(right + sign * _number(domain, turn, left, high), high))
-        return pair(F.pmod(left + sign * _number(domain, turn, right, low), low), right)
+            return pair(left, F.pmod(right + sign * _number(key, domain, turn, left, high), high))
+        return pair(F.pmod(left + sign * _number(key, domain, turn, right, low), low), right)
 
     turns = [*((t, -1) for t in reversed(range(ROUNDS))), None, *((t, 1) for t in range(ROUNDS))]
     state = pair(F.call_function("div", value, high), F.pmod(value, high))
@@ -184,10 +208,10 @@ def _date_parts(value: Column) -> tuple[Column, Column, Column, Column]:
     """Whether the day comes first, and year, month and day. With strokes the month comes first if it can."""
     parts = F.transform(F.split(value, "[./-]"), lambda x: x.try_cast("int"))
     a, b, c = (F.element_at(parts, i) for i in (1, 2, 3))
-    iso, dotted = value.contains("-"), value.contains(".")
-    day_first = dotted | (~iso & (a > 12))
-    month = F.when(iso | day_first, b).otherwise(a)
-    return day_first, F.when(iso, a).otherwise(c), month, F.when(iso, c).when(day_first, a).otherwise(b)
+    year_first, dotted = value.rlike("^[0-9]{4}"), value.contains(".")
+    day_first = dotted | (~year_first & (a > 12))
+    month = F.when(year_first | day_first, b).otherwise(a)
+    return day_first, F.when(year_first, a).otherwise(c), month, F.when(year_first, c).when(day_first, a).otherwise(b)
 
 
 def _day(value: Column) -> Column:
@@ -202,27 +226,39 @@ def _date(value: Column, moved: Column) -> Column:
     """A day of the four centuries by its number, written as the value is."""
     day = F.date_add(F.lit("1800-01-01").cast("date"), moved.cast("int"))
     text = lambda form: F.date_format(day, form)
-    slashed = F.when(_date_parts(value)[0], text("dd/MM/yyyy")).otherwise(text("MM/dd/yyyy"))
+    slashed = F.when(value.rlike("^[0-9]{4}"), text("yyyy/MM/dd")).when(_date_parts(value)[0], text("dd/MM/yyyy"))
+    slashed = slashed.otherwise(text("MM/dd/yyyy"))
     return F.when(value.contains("-"), text("yyyy-MM-dd")).when(value.contains("."), text("dd.MM.yyyy")).otherwise(slashed)
 
 
-def _shift(text: Column, other: Column, turn: Column) -> Column:
-    """Each letter and digit moved within its class by a keyed hash of another text."""
-    digest = F.sha2(F.concat_ws("|", F.lit(KEY), F.lit("mail"), turn.cast("string"), other), 256)
-    classes = [(97, 26), (65, 26), (48, 10), (0xE0, 23), (0xC0, 23)]  # first code point and size
+# First code point and number of the letters of a script, digits among them.
+SCRIPTS = (
+    (0x61, 26), (0x41, 26), (0x30, 10), (0xE0, 23), (0xC0, 23), (0x430, 32), (0x410, 32), (0x3B1, 25), (0x391, 17),
+    (0x5D0, 27), (0x627, 20), (0x905, 53), (0xE01, 46), (0x3041, 86), (0x30A1, 90), (0x4E00, 20992), (0xAC00, 11172),
+)
+
+
+def _shift(key: str, text: Column, other: Column, turn: Column) -> Column:
+    """Each letter and digit moved within its script by a keyed hash of another text."""
+    digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit("mail"), turn.cast("string"), other), 256)
 
     def move(char: Column, i: Column) -> Column:
         step = F.conv(F.substr(digest, (i % 32) * 2 + 1, F.lit(2)), 16, 10).cast("int")
         code = F.ascii(char)
-        out = F.when(char == "", char)
-        for first, size in classes:
-            out = out.when(code.between(first, first + size - 1), F.char((code - first + step) % size + first))
-        return out.otherwise(char)
+        moved = F.when(code < 128, F.lit(None).cast("int"))  # marks stay
+        for first, size in reversed(SCRIPTS):
+            inside = code.between(first, first + size - 1)
+            moved = F.when(inside, (code - first + step) % size + first).otherwise(moved)
+        block = code - code % 128
+        beyond = (code >= 0x250) & (code < 0xD800)
+        moved = F.coalesce(moved, F.when(beyond, block + (code % 128 + step) % 128))
+        written = F.decode(F.unhex(F.lpad(F.hex(moved), 4, "0")), "UTF-16BE")
+        return F.coalesce(F.when(char != "", written), char)
 
     return F.array_join(F.transform(_chars(text), move), "")
 
 
-def _mail(value: Column) -> Column:
+def _mail(key: str, value: Column) -> Column:
     """The part before the sign is permuted among all of its length and character classes; the host stays."""
     at = F.instr(value, "@")
     local = F.substr(value, F.lit(1), at - 1)
@@ -230,8 +266,8 @@ def _mail(value: Column) -> Column:
     start = F.struct(F.substr(local, F.lit(1), half).alias("l"), F.substr(local, half + 1).alias("r"))
 
     def step(held: Column, turn: Column) -> Column:
-        left = F.struct(_shift(held["l"], held["r"], turn).alias("l"), held["r"].alias("r"))
-        right = F.struct(held["l"].alias("l"), _shift(held["r"], held["l"], turn).alias("r"))
+        left = F.struct(_shift(key, held["l"], held["r"], turn).alias("l"), held["r"].alias("r"))
+        right = F.struct(held["l"].alias("l"), _shift(key, held["r"], held["l"], turn).alias("r"))
         return F.when(turn % 2 == 0, left).otherwise(right)
 
     turns = F.array(*(F.lit(t) for t in range(ROUNDS)))
@@ -256,14 +292,33 @@ def _of_kind(value: Column) -> Column:
     return kind.when(issued, F.lit("card"))
 
 
-def _pseudonyms(matches: Column) -> Column:
-    """For each match its pseudonym, or the match itself if it fails its check.
+def _pieces(text: Column) -> Column:
+    """The text in pieces ``v``, of which those with ``m`` have the shape of a value."""
+    piece = lambda v, m: F.struct(F.coalesce(v, F.lit("")).alias("v"), F.lit(m).alias("m"))
+
+    def cut(whole: Column, pattern: str, inner) -> Column:
+        gaps, matches = F.split(whole, pattern, -1), F.regexp_extract_all(whole, F.lit(pattern), F.lit(0))
+        return F.flatten(F.zip_with(gaps, matches, lambda gap, m: F.concat(F.array(piece(gap, False)), inner(m))))
+
+    def again(match: Column) -> Column:
+        no_account = match.rlike("^[A-Z]") & ~match.contains("@") & (_mod97(F.regexp_replace(match, " ", "")) != 1)
+        return F.when(no_account, cut(match, WITHIN, lambda m: F.array(piece(m, True)))).otherwise(F.array(piece(match, True)))
 
-    In steps, each over the fields that the step before has made: the kind, the number and its
-    domain, the permuted number, the text.
+    return cut(text, PATTERN, again)
+
+
+def _kinds(text: Column) -> Column:
+    """The pieces with their kind ``k``, NULL for what stays."""
+    return F.transform(_pieces(text), lambda p: F.struct(p["v"].alias("v"), F.when(p["m"] & (p["v"] != ""), _of_kind(p["v"])).alias("k")))
+
+
+def _replaced(kinds: Column, key: str) -> Column:
+    """Each piece's pseudonym, or the piece itself if it has no kind.
+
+    In steps, each over the fields that the step before has made: the number and its domain, the
+    permuted number, the text.
     """
     first = F.lit("1800-01-01").cast("date")
-    kinds = F.transform(matches, lambda v: F.struct(v.alias("v"), _of_kind(v).alias("k")))
     parts = F.transform(kinds, lambda x: F.struct(x["v"].alias("v"), x["k"].alias("k"), _moving(x["v"], x["k"]).alias("d")))
 
     def domain(x: Column) -> Column:
@@ -282,13 +337,13 @@ def _pseudonyms(matches: Column) -> Column:
         )
 
     def moved(x: Column) -> Column:
-        found = F.when(x["number"].isNotNull(), permute(x["number"], x["low"], x["high"], x["domain"]))
+        found = F.when(x["number"].isNotNull(), permute(x["number"], x["low"], x["high"], x["domain"], key))
         digits = F.coalesce(F.lpad(found.cast("string"), F.length(x["d"]), F.lit("0")), F.lit(""))
         return F.struct(x["v"].alias("v"), x["k"].alias("k"), found.alias("p"), digits.alias("q"))
 
     def written(x: Column) -> Column:
         kind = x["k"]
-        out = F.when(kind == "mail", _mail(x["v"])).when(kind == "card", _card(x["v"], x["q"]))
+        out = F.when(kind == "mail", _mail(key, x["v"])).when(kind == "card", _card(x["v"], x["q"]))
         out = out.when(kind == "iban", _iban(x["v"], x["q"])).when(kind == "ip", _ip(x["p"]))
         out = out.when(kind == "phone", _fill(x["v"], F.concat(_country_code(x["v"]), x["q"])))
         out = out.when(kind == "ssn", _fill(x["v"], x["q"])).when(kind == "date", _date(x["v"], x["p"]))
@@ -297,26 +352,17 @@ def _pseudonyms(matches: Column) -> Column:
     return F.transform(F.transform(F.transform(parts, domain), moved), written)
 
 
-def _matches(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
-
-
 def _may_hold(text: Column) -> Column:
     """A quick look: most texts have neither a digit nor an at sign."""
     return text.rlike("[0-9@]")
 
 
-def pseudonymise(text: Column) -> Column:
-    """The text with its personal values replaced."""
-    joined = F.zip_with(
-        F.split(text, PATTERN, -1),
-        _pseudonyms(_matches(text)),
-        lambda gap, pseudonym: F.concat(gap, F.coalesce(pseudonym, F.lit(""))),
-    )
-    return F.when(_may_hold(text), F.array_join(joined, "")).otherwise(text)
+def pseudonymise(text: Column, key: str) -> Column:
+    """The text with its personal values replaced under a key."""
+    return F.when(_may_hold(text), F.array_join(_replaced(_kinds(text), key), "")).otherwise(text)
 
 
 def count(text: Column) -> Column:
     """How many values of a text are replaced; 0 for NULL."""
-    found = F.size(F.filter(_matches(text), lambda match: _of_kind(match).isNotNull()))
+    found = F.size(F.filter(_kinds(text), lambda piece: piece["k"].isNotNull()))
     return F.when(_may_hold(text), found).otherwise(0).cast("bigint")

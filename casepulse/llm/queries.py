@@ -24,6 +24,8 @@ from casepulse.llm import (
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
+#: The key of the registered queries; whoever replaces real values chooses and keeps another.
+PSEUDONYM_KEY = "corpus-pseudonyms-1"
 #: The tokenizer files the queries use, in the folder that ``public_tokenizers`` names.
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
@@ -53,7 +55,7 @@ def op2_maxent(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
-    return docs.select("doc_id", pii.pseudonymise(F.col("text")).alias("text"), pii.count(F.col("text")).alias("n_values"))
+    return docs.select("doc_id", pii.pseudonymise(F.col("text"), PSEUDONYM_KEY).alias("text"), pii.count(F.col("text")).alias("n_values"))
 
 
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,12 +1,15 @@
 """Licences of files by TF-IDF cosine to templates, and by inheritance from licence files above.
 
-A statement is a line, or a sentence of one, that has a licence word. Its terms are weighted by
-their frequency in it and the inverse document frequency over all files, and compared with the
-templates; a statement of at least ``LIKE`` cosine names that licence, the best of a file counts,
-equal ones by name. A file that is mostly such a statement, or is called a licence file, covers
-its directory: files below without a licence of their own take that of the nearest directory
-above. Directories are few against files, so their ancestors are spread out and joined once for
-each directory, and files join their own.
+A statement is a line, or a sentence of one, that has a licence word, alone or together with a few
+lines after it, as headers are wrapped. Its terms are weighted by their frequency in it and the
+inverse document frequency over all files, and compared with the templates. A statement of at
+least ``LIKE`` cosine that is less like any other licence by ``MARGIN`` names its licence; one
+that tells no version from another names none. The best of a file counts, equal ones by name; a
+licence that only adds a clause to another one outdoes it. A file that is called a licence file,
+or is mostly the text of one, covers its directory: files below without a licence of their own
+take that of the nearest directory above. Directories are few against files, so their ancestors
+are spread out and joined once for each directory; files join their own, dealt over ``PARTS``
+where the directories are too many to be sent.
 
 Only DataFrame functions are used. Statements are scored inside the row; the counts of the
 templates' terms are a single small aggregate, and what is broadcast or held by the driver are
@@ -27,21 +30,26 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Statements by which licences are recognised, by their common identifiers.
-TEMPLATES: dict[str, list[str]] = {
+from casepulse.llm.store import cut
+
+# Statements by which licences are recognised, by their common identifiers: what
+# source files and pages say, then what licence files do.
+_GNU = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+_GNU_ONLY = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {}, version {}, as published by the Free Software Foundation."
+HEADERS: dict[str, list[str]] = {
     "AGPL-3.0": [
         "licensed under the GNU Affero General Public License version 3",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License",
+        _GNU.format("Affero General Public License", "3"),
+        "SPDX-License-Identifier: AGPL-3.0",
     ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "SPDX-License-Identifier: Apache-2.0",
     ],
-    "BSD-3-Clause": [
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-        "Licensed under the BSD 3-Clause License",
-        "SPDX-License-Identifier: BSD-3-Clause",
-    ],
+    "BSD-2-Clause": ["Licensed under the BSD 2-Clause License", "SPDX-License-Identifier: BSD-2-Clause"],
+    "BSD-3-Clause": ["Licensed under the BSD 3-Clause License", "SPDX-License-Identifier: BSD-3-Clause"],
     "CC-BY-4.0": ["Licensed under CC BY 4.0", "licensed under a Creative Commons Attribution 4.0 International License"],
     "CC-BY-NC-4.0": [
         "Licensed under CC BY-NC 4.0",
@@ -54,25 +62,72 @@ TEMPLATES: dict[str, list[str]] = {
     "CC0-1.0": ["dedicated to the public domain under CC0 1.0 Universal license", "SPDX-License-Identifier: CC0-1.0"],
     "GPL-2.0": [
         "This work is licensed under the GNU General Public License, version 2",
+        _GNU.format("General Public License", "2"),
+        _GNU_ONLY.format("General Public License", "2"),
         "SPDX-License-Identifier: GPL-2.0",
     ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3",
+        _GNU.format("General Public License", "3"),
+        _GNU_ONLY.format("General Public License", "3"),
         "SPDX-License-Identifier: GPL-3.0",
     ],
-    "LGPL-3.0": ["licensed under the GNU Lesser General Public License, version 3", "SPDX-License-Identifier: LGPL-3.0"],
+    "LGPL-2.1": [
+        "licensed under the GNU Lesser General Public License, version 2.1",
+        _GNU.format("Lesser General Public License", "2.1"),
+        "SPDX-License-Identifier: LGPL-2.1",
+    ],
+    "LGPL-3.0": [
+        "licensed under the GNU Lesser General Public License, version 3",
+        _GNU.format("Lesser General Public License", "3"),
+        "SPDX-License-Identifier: LGPL-3.0",
+    ],
+    "MIT": ["Released under the MIT License", "SPDX-License-Identifier: MIT"],
+    "MPL-2.0": [
+        "subject to the terms of the Mozilla Public License, v. 2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file",
+        "SPDX-License-Identifier: MPL-2.0",
+    ],
+    "Unlicense": ["SPDX-License-Identifier: Unlicense"],
+}
+FILES: dict[str, list[str]] = {
+    "AGPL-3.0": ["GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"],
+    "Apache-2.0": ["Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"],
+    "BSD-2-Clause": [
+        "BSD 2-Clause License",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+    ],
+    "BSD-3-Clause": [
+        "BSD 3-Clause License",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+        "without specific prior written permission.",
+    ],
+    "CC-BY-4.0": ["Creative Commons Attribution 4.0 International Public License"],
+    "CC-BY-NC-4.0": ["Creative Commons Attribution-NonCommercial 4.0 International Public License"],
+    "CC-BY-SA-4.0": ["Creative Commons Attribution-ShareAlike 4.0 International Public License"],
+    "CC0-1.0": ["Creative Commons Legal Code CC0 1.0 Universal"],
+    "GPL-2.0": ["GNU GENERAL PUBLIC LICENSE Version 2, June 1991"],
+    "GPL-3.0": ["GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "LGPL-2.1": ["GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"],
+    "LGPL-3.0": ["GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
     "MIT": [
-        "Released under the MIT License",
+        "MIT License",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
-        "SPDX-License-Identifier: MIT",
     ],
-    "MPL-2.0": ["subject to the terms of the Mozilla Public License, v. 2.0", "SPDX-License-Identifier: MPL-2.0"],
+    "MPL-2.0": ["Mozilla Public License Version 2.0"],
     "Unlicense": ["This is free and unencumbered software released into the public domain, The Unlicense"],
 }
+TEMPLATES = {name: [*HEADERS.get(name, []), *FILES.get(name, [])] for name in sorted({*HEADERS, *FILES})}
+#: Licences that only add to another one.
+ADDS_TO = {"BSD-3-Clause": "BSD-2-Clause"}
 #: Words of which every template has one; only statements with one can be like a template.
-CUE = "(?i)licen[sc]e|permission is hereby|redistribution and use|redistribute it|public domain"
+CUE = "(?i)licen[sc]e|permission is hereby|redistribution and use|redistribute it|public domain|neither the name|creative commons"
 LICENCE_FILE = r"(?i)(?:^|/)(?:un)?licen[sc]e(?:[._-][^/]*)?$|(?i)(?:^|/)(?:copying|notice)(?:[._-][^/]*)?$"
-LIKE = 0.65
+LIKE, MARGIN = 0.65, 0.005
+#: Numbers of lines that are taken together, beginning with one that has a licence word.
+LINES = (1, 2, 3, 4, 6)
+#: Directories up to which they are sent to all tasks, and parts that the files of one are dealt over beyond.
+SENT, PARTS = 50_000, 64
 #: Share of a file's words that a statement must make up to cover the directory.
 MOSTLY = 0.8
 NONE = "none"
@@ -102,9 +157,13 @@ def document_frequencies(files: DataFrame, text: str = "text") -> dict[str, int]
 
 
 def weights(frequencies: dict[str, int]) -> dict[str, float]:
-    """Smoothed inverse document frequency of each term of the templates; the empty term's is that of any other word."""
-    n = frequencies.get("", 0)
-    return {t: math.log((1 + n) / (1 + frequencies.get(t, 0))) + 1.0 for t in vocabulary()} | {"": 1.0}
+    """Smoothed inverse document frequency of each term of the templates; the empty term's is that of any other word.
+
+    The licences count as documents too, so that names outweigh common words in a small corpus.
+    """
+    n = frequencies.get("", 0) + len(TEMPLATES)
+    of_licence = Counter(t for statements in TEMPLATES.values() for t in {t for s in statements for t in terms(s)})
+    return {t: math.log((1 + n) / (1 + frequencies.get(t, 0) + of_licence[t])) + 1.0 for t in vocabulary()} | {"": 1.0}
 
 
 def _vector(words: list[str], idf: dict[str, float]) -> dict[str, float]:
@@ -118,7 +177,7 @@ def _map(values: dict[str, float]) -> Column:
 
 
 def _best(statement: Column, idf: dict[str, float]) -> Column:
-    """The likest template of a statement: ``like``, ``licence``, ``words``."""
+    """The likest template of a statement: ``like``, ``licence``, ``of_file``, how like the ``next`` licence is, ``words``."""
     found = _terms(statement)
     distinct = F.array_distinct(found)
     weigh = _map({t: v for t, v in idf.items() if t})
@@ -139,13 +198,36 @@ def _best(statement: Column, idf: dict[str, float]) -> Column:
         for licence, statements in TEMPLATES.items():
             for text in statements:
                 dot = total(F.transform(held, shared(_map(_vector(terms(text), idf)))))
-                options.append(F.struct(F.round(dot / norm, 6).alias("like"), F.lit(licence).alias("licence")))
-        # The first of the likest, as names are in order.
-        return F.aggregate(F.array(*options), F.struct(F.lit(0.0).alias("like"), F.lit(NONE).alias("licence")), lambda a, x: F.when(x["like"] > a["like"], x).otherwise(a))
+                of_file = F.lit(text in FILES.get(licence, []))
+                options.append(F.struct(F.round(dot / norm, 6).alias("like"), F.lit(licence).alias("licence"), of_file.alias("of_file")))
+        nothing = F.struct(F.lit(0.0).alias("like"), F.lit(NONE).alias("licence"), F.lit(False).alias("of_file"), F.lit(0.0).alias("next"))
+
+        def better(held: Column, x: Column) -> Column:
+            """The first of the likest, as names are in order, and how like the likest of other licences is."""
+            last = F.when(held["licence"] == x["licence"], held["next"]).otherwise(held["like"])
+            new = F.struct(x["like"].alias("like"), x["licence"].alias("licence"), x["of_file"].alias("of_file"), last.alias("next"))
+            other = F.when(held["licence"] == x["licence"], held["next"]).otherwise(F.greatest(held["next"], x["like"]))
+            old = F.struct(held["like"].alias("like"), held["licence"].alias("licence"), held["of_file"].alias("of_file"), other.alias("next"))
+            return F.when(x["like"] > held["like"], new).otherwise(old)
+
+        return F.aggregate(F.array(*options), nothing, better)
 
     # Bound once: the terms are not taken apart again for each template.
     best = F.element_at(F.transform(F.array(vector), scored), 1)
-    return F.struct(best["like"].alias("like"), best["licence"].alias("licence"), F.size(found).alias("words"))
+    return F.struct(*(best[name].alias(name) for name in ("like", "licence", "of_file", "next")), F.size(found).alias("words"))
+
+
+def _statements(text: Column) -> Column:
+    """Lines and sentences with a licence word, each alone and with those after it."""
+    # An array of the one array of pieces, so that they are made once.
+    pieces = F.array(F.filter(F.split(text, SENTENCE), lambda s: s.rlike("[A-Za-z0-9]")))
+
+    def begun(p: Column) -> Column:
+        places = F.filter(F.sequence(F.lit(1), F.size(p)), lambda i: F.element_at(p, i).rlike(CUE))
+        together = lambda i: F.array(*(F.array_join(F.slice(p, i, F.lit(k)), " ") for k in LINES))
+        return F.when(F.size(p) > 0, F.array_distinct(F.flatten(F.transform(places, together)))).otherwise(F.array().cast("array<string>"))
+
+    return F.element_at(F.transform(pieces, begun), 1)
 
 
 def own_licences(
@@ -153,15 +235,18 @@ def own_licences(
 ) -> DataFrame:
     """``path``, ``row`` (the carried columns), ``own`` (the licence a file states, or ``none``), ``like`` and ``covers``."""
     value = F.col(text)
-    statements = F.filter(F.split(value, SENTENCE), lambda s: s.rlike(CUE))
-    scored = F.transform(statements, lambda s: _best(s, idf))
-    nothing = F.struct(F.lit(0.0).alias("like"), F.lit(NONE).alias("licence"), F.lit(0).alias("words"))
+    scored = F.filter(F.transform(_statements(value), lambda s: _best(s, idf)), lambda x: (x["like"] >= LIKE) & (x["like"] - x["next"] >= MARGIN))
+    for more, less in ADDS_TO.items():  # bound once, then looked at twice
+        scored = F.element_at(
+            F.transform(F.array(scored), lambda xs: F.filter(xs, lambda x: (x["licence"] != less) | ~F.exists(xs, lambda y: y["licence"] == more))), 1
+        )
+    nothing = F.struct(F.lit(0.0).alias("like"), F.lit(NONE).alias("licence"), F.lit(False).alias("of_file"), F.lit(0.0).alias("next"), F.lit(0).alias("words"))
     likest = F.aggregate(scored, nothing, lambda a, x: F.when((x["like"] > a["like"]) | ((x["like"] == a["like"]) & (x["licence"] < a["licence"])), x).otherwise(a))
     best = F.when(value.rlike(CUE), likest).otherwise(nothing)
     row = F.struct(*carried) if carried else F.lit(None)
     stated = files.select(F.col(path).alias("path"), row.alias("row"), value.alias("text"), best.alias("best"))
-    found = F.coalesce(F.col("best.like") >= LIKE, F.lit(False))
-    mostly = F.col("best.words") >= MOSTLY * F.size(_terms(F.col("text")))
+    found = F.coalesce(F.col("best.licence") != NONE, F.lit(False))
+    mostly = F.col("best.of_file") & (F.col("best.words") >= MOSTLY * F.size(_terms(F.col("text"))))
     named = F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False))
     return stated.select(
         "path",
@@ -201,8 +286,13 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", carried: tupl
     )
     folders = own.where("folder is not null").select("folder").distinct()
     spread = folders.select("folder", F.explode(ancestors(F.col("folder"))).alias("a")).select("folder", "a.depth", "a.above")
-    inherited = spread.join(covered, "above").groupBy("folder").agg(F.max_by("licence", "depth").alias("inherited"))
-    joined = own.join(inherited, "folder", "left")
+    inherited = cut(spread.join(covered, "above").groupBy("folder").agg(F.max_by("licence", "depth").alias("inherited")))
+    if inherited.count() <= SENT:
+        joined = own.join(F.broadcast(inherited), "folder", "left")
+    else:  # one directory may hold very many files
+        part = F.pmod(F.xxhash64("path", "row"), F.lit(PARTS)).cast("int")
+        spread_out = inherited.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+        joined = own.withColumn("part", part).join(spread_out, ["folder", "part"], "left")
     return joined.select(
         "path",
         *(["row"] if carried else []),

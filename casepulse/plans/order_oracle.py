@@ -14,6 +14,7 @@ from casepulse.plans.order_queries import (
     BREAKS,
     CURRENT_YEAR,
     EXCLUDE,
+    HISTORY,
     PAST_YEAR,
     RUN_AT,
     SNAPSHOT,

@@ -9,8 +9,13 @@ its context. The language of lowest cross-entropy per letter wins; equal ones go
 name. A part of the sample is kept out of the counts to calibrate the score and the limits of
 cross-entropy beyond which a text is rejected as no language that was learned.
 
+Every label is learned, however many there are and however short their texts. Languages come in
+blocks, by name, of at most ``CELLS`` n-grams times languages, or of one language: the driver
+counts and fits one block at a time, and a text passes from block to block with its best language
+so far and the sum its score needs.
+
 Null texts and texts without letters are ``und`` with score 0 and rejected. Rows without a
-label, or with an empty one, train nothing; without any label every text is ``und``. Repeated
+label train nothing; without any label every text is ``und``. Repeated
 rows keep their rows, a null id is carried along, and columns other than id, text and label
 are not looked at. Empty tables give empty results.
 """
@@ -22,17 +27,23 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from casepulse.llm.store import cut
 from casepulse.llm.words import BASE, HashIndex, find, mix, slices, sums, tally
 
 ORDER = 5
 UNKNOWN = "und"
-#: Labelled rows of each language that a model is fitted on, and languages at most, by their rows.
-ROWS_PER_LANGUAGE = 1000
-LANGUAGES = 200
+#: Languages up to whose number their counts of rows are sent to all tasks.
+SENT = 10_000
+#: Labelled rows of each language that a model is fitted on, and their letters: the row that passes that bound is the last.
+ROWS_PER_LANGUAGE, LETTERS_PER_LANGUAGE = 1000, 8_000_000
+#: N-grams times languages of a block, four bytes each.
+CELLS = 16_000_000
 #: One row in so many of the sample calibrates.
 CALIBRATE = 5
 #: Deviations above its language's usual cross-entropy at which a text is rejected.
@@ -81,11 +92,11 @@ def gram_hashes(stream: np.ndarray, n: int) -> np.ndarray:
 
 
 @dataclass
-class Model:
-    """Languages, and for each order its sorted hashes with log10 probabilities and context weights.
+class Block:
+    """Some languages, and for each order their sorted hashes with log10 probabilities and context weights.
 
-    ``limit`` and ``spread`` are the mean and deviation of the cross-entropy per letter that the
-    texts of each language have, ``sharpness`` turns differences of it into probabilities.
+    ``mean`` and ``spread`` are those of the cross-entropy per letter that the texts of each
+    language have.
     """
 
     languages: list[str]
@@ -95,7 +106,6 @@ class Model:
     weights: list[np.ndarray] = field(default_factory=list)
     mean: np.ndarray | None = None
     spread: np.ndarray | None = None
-    sharpness: float = 1.0
 
     def log_probabilities(self, stream: np.ndarray, places: np.ndarray) -> np.ndarray:
         """A row for each place, a column for each language."""
@@ -142,18 +152,17 @@ class Model:
             at = to
         return total / np.maximum(np.diff(first), 1)[:, None], n_letters
 
-    def decide(self, entropy: np.ndarray, n_letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The best language's place (-1 without letters), its score and whether the text is rejected."""
-        if not self.languages:
-            nothing = np.full(len(entropy), -1)
-            return nothing, np.zeros(len(entropy)), np.ones(len(entropy), bool)
-        best = np.argmin(entropy, axis=1)
-        lowest = entropy[np.arange(len(entropy)), best]
-        gap = (entropy - lowest[:, None]) * (self.sharpness * np.sqrt(np.maximum(n_letters, 1)))[:, None]
-        score = 1.0 / np.sum(10.0 ** -np.minimum(gap, 300.0), axis=1)
-        none = n_letters == 0
-        far = lowest > self.mean[best] + MARGIN * self.spread[best] * np.maximum(1.0, np.sqrt(100.0 / np.maximum(n_letters, 1)))
-        return np.where(none, -1, best), np.where(none, 0.0, score), none | far
+
+@dataclass
+class Model:
+    """Blocks of languages; ``sharpness`` turns differences of cross-entropy into probabilities."""
+
+    blocks: list[Block] = field(default_factory=list)
+    sharpness: float = 1.0
+
+    @property
+    def languages(self) -> list[str]:
+        return [name for block in self.blocks for name in block.languages]
 
 
 def _counts(sample: DataFrame) -> DataFrame:
@@ -242,29 +251,41 @@ def _one_language(rows: dict[int, dict[str, np.ndarray]], alphabet: int) -> tupl
     return probabilities, weights
 
 
-def fit(counts: dict[str, dict[int, dict[str, np.ndarray]]]) -> Model:
-    """A model of counts by language and order, in the order of the languages' names."""
+def _taken(values: np.ndarray, at: np.ndarray, other: float) -> np.ndarray:
+    """The values at places, or another one at place -1."""
+    return np.append(values, other)[at]
+
+
+def fit(counts: dict[str, dict[int, dict[str, np.ndarray]]], single: np.ndarray) -> Block:
+    """A block of counts by language and order, in the order of the languages' names; a language may lack the higher orders.
+
+    ``single`` has the n-grams of one letter of all languages, also of those not in the block, so
+    that a letter weighs the same in whatever block.
+    """
     languages = sorted(counts)
-    model = Model(languages)
-    if not languages:
-        return model
-    alphabet = len(np.unique(np.concatenate([counts[x][1]["gram"] for x in languages]))) + 1
+    model, alphabet = Block(languages), len(single) + 1
     fitted = [_one_language(counts[x], alphabet) for x in languages]
+    nothing = (np.zeros(0, np.uint64), np.zeros(0))
+    for probabilities, weights in fitted:
+        probabilities += [nothing] * (ORDER - len(probabilities))
+        weights += [nothing] * (ORDER - len(weights))
     for n in range(1, ORDER + 1):
-        union, index = np.unique(np.concatenate([counts[x][n]["gram"] for x in languages]), return_index=True)
-        parts = {k: np.concatenate([counts[x][n][k] for x in languages])[index] for k in ("context", "inner")}
+        having = [counts[x][n] for x in languages if n in counts[x]]
+        union, index = np.unique(np.concatenate([x["gram"] for x in having] or [nothing[0]]), return_index=True)
+        parts = {k: np.concatenate([x[k] for x in having] or [nothing[0]])[index] for k in ("context", "inner")}
+        union = single if n == 1 else union
         contexts = np.unique(np.concatenate([f[1][n - 1][0] for f in fitted]))
         weight = np.zeros((len(contexts), len(languages)))
         logs = np.zeros((len(union), len(languages)))
         for k, (probabilities, weights) in enumerate(fitted):
             at = find(weights[n - 1][0], contexts)
-            weight[:, k] = np.log10(np.where(at >= 0, weights[n - 1][1][at], 1.0))
+            weight[:, k] = np.log10(_taken(weights[n - 1][1], at, 1.0))
             at = find(probabilities[n - 1][0], union)
             if n == 1:
                 back = np.log10(weights[0][1][0] / alphabet) * np.ones(len(union))
             else:
                 back = weight[find(contexts, parts["context"]), k] + model.logs[-1][model.grams[-1].find(parts["inner"]), k]
-            logs[:, k] = np.where(at >= 0, np.log10(probabilities[n - 1][1][at]), back)
+            logs[:, k] = np.where(at >= 0, np.log10(_taken(probabilities[n - 1][1], at, 1.0)), back)
         model.grams.append(HashIndex(union))
         model.logs.append(logs.astype(np.float32))
         model.contexts.append(HashIndex(contexts))
@@ -272,118 +293,173 @@ def fit(counts: dict[str, dict[int, dict[str, np.ndarray]]]) -> Model:
     return model
 
 
-def calibrate(model: Model, entropy: np.ndarray, n_letters: np.ndarray, truth: np.ndarray) -> None:
-    """Limits of cross-entropy by language, and the sharpness under which the scores fit best."""
-    own = entropy[np.arange(len(truth)), truth]
-    model.mean, model.spread = np.zeros(len(model.languages)), np.zeros(len(model.languages))
-    for k in range(len(model.languages)):
-        values = own[(truth == k) & (n_letters >= 20)]
-        if not len(values):
-            values = own[n_letters >= 20]
-        middle = np.median(values) if len(values) else 2.0
-        high = np.quantile(values, 0.99) if len(values) else 3.0
-        model.mean[k], model.spread[k] = middle, max(0.05, (high - middle) / 2.33)
-    best, best_loss = 1.0, np.inf
-    for sharpness in 2.0 ** np.arange(-6, 5):
-        gap = (entropy - entropy.min(axis=1)[:, None]) * (sharpness * np.sqrt(np.maximum(n_letters, 1)))[:, None]
-        shares = 10.0 ** -np.minimum(gap, 300.0)
-        chance = shares[np.arange(len(truth)), truth] / shares.sum(axis=1)
-        loss = -np.mean(np.log(np.maximum(chance, 1e-12))) if len(truth) else 0.0
-        if loss < best_loss:
-            best, best_loss = sharpness, loss
-    model.sharpness = float(best)
-
-
-def _sample(labelled: DataFrame, rows: int) -> DataFrame:
-    """``rows`` rows of each language, or all it has, by the order of a hash; ``calibrating`` for one in ``CALIBRATE``."""
-    sizes = labelled.groupBy("lang").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "lang").limit(LANGUAGES)
-    share = F.broadcast(sizes)  # at most LANGUAGES rows
-    chance = F.pmod(F.xxhash64("text", "key"), F.lit(1 << 30)) / (1 << 30)
-    likely = labelled.join(share, "lang").withColumn("chance", chance).where(F.col("chance") * F.col("rows") < 1.5 * rows + 30)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("chance", "text"))
-    few = likely.withColumn("rank", rank).where(F.col("rank") <= rows)
-    return few.select("lang", "text", (F.col("rank") % CALIBRATE == 0).alias("calibrating"))
+#: Sharpnesses of which the one that fits best is taken.
+SHARPNESS = 2.0 ** np.arange(-6, 5)
 
 
-def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", rows: int = ROWS_PER_LANGUAGE) -> Model:
-    """A model of the labelled rows; ``key`` only makes the choice of the sample one of rows, not of texts."""
-    labelled = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(key).alias("key"))
-    labelled = labelled.where("lang is not null and lang <> '' and text is not null")
-    sample = _sample(labelled, rows).persist()
-    counted = _counts(sample.where("not calibrating").select("lang", "text")).toArrow()
+def _sample(labelled: DataFrame, rows: int, letters_: int) -> DataFrame:
+    """Rows of each language by the order of a hash, the longest last, within both bounds; ``calibrating`` for one in ``CALIBRATE``."""
+    size = F.char_length("text")
+    sizes = labelled.groupBy("lang").agg(F.count("*").alias("rows"))
+    few = sizes.count() <= SENT
+    chance = F.pmod(F.xxhash64("text", "key"), F.lit(1 << 30)) / (1 << 30)
+    keyed = labelled.withColumns({"chance": chance, "size": size, "long": size > letters_ // 10})
+    likely = keyed.join(F.broadcast(sizes) if few else sizes, "lang").where(F.col("long") | (F.col("chance") * F.col("rows") < 1.5 * rows + 30))
+    # Repeated rows without a key share one chance; any of them may stand for the others.
+    in_order = Window.partitionBy("lang").orderBy("long", "chance", "text")
+    ranked = likely.withColumn("rank", F.row_number().over(in_order)).where(F.col("rank") <= rows)
+    before = F.coalesce(F.sum("size").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    kept = ranked.withColumn("before", before).where(F.col("before") < letters_)
+    return kept.select("lang", "text", (F.col("rank") % CALIBRATE == 0).alias("calibrating"))
+
+
+def _blocks(counted: DataFrame, cells: int) -> Iterator[list[str]]:
+    """Languages by name in blocks of at most so many n-grams times languages, or of one."""
+    names: list[str] = []
+    grams = 0
+    for row in counted.groupBy("lang").agg(F.count("*").alias("grams")).orderBy("lang").toLocalIterator():
+        if names and (grams + row["grams"]) * (len(names) + 1) > cells:
+            yield names
+            names, grams = [], 0
+        names, grams = [*names, row["lang"]], grams + row["grams"]
+    if names:
+        yield names
+
+
+def _block(counted: DataFrame, languages: list[str], single: np.ndarray) -> Block:
+    table = counted.where(F.col("lang").isin(*languages)).toArrow()
     counts: dict[str, dict[int, dict[str, np.ndarray]]] = {}
-    names = np.asarray(counted["lang"].to_pylist(), object)
-    orders = counted["n"].to_numpy()
-    for name in sorted(set(names)):
-        by_order = {}
+    place = pc.index_in(table["lang"], pa.array(languages)).to_numpy()
+    orders = table["n"].to_numpy()
+    for k, name in enumerate(languages):
+        counts[name] = {}
         for n in range(1, ORDER + 1):
-            own = np.flatnonzero((names == name) & (orders == n))
-            columns = {k: counted[k].to_numpy()[own].view(np.uint64) for k in ("gram", "context", "inner")}
-            columns["count"] = counted["count"].to_numpy()[own]
-            order = np.argsort(columns["gram"])
-            by_order[n] = {k: v[order] for k, v in columns.items()}
-        if all(len(x["gram"]) for x in by_order.values()):
-            counts[name] = by_order
-    model = fit(counts)
-    if model.languages:
-        model.mean = model.spread = np.zeros(len(model.languages))
-        held = _entropies(sample.where("calibrating").select(F.lit(0).alias("doc_id"), "text", "lang"), model).toArrow()
-        known = np.asarray([x in model.languages for x in held["lang"].to_pylist()], bool)
-        truth = np.asarray([model.languages.index(x) if x in model.languages else 0 for x in held["lang"].to_pylist()], int)
-        entropy = np.asarray(held["entropy"].to_pylist(), float).reshape(-1, len(model.languages))
-        n_letters = held["n_letters"].to_numpy()
-        used = known & (n_letters > 0)
-        calibrate(model, entropy[used], n_letters[used], truth[used])
-    sample.unpersist()
+            own = np.flatnonzero((place == k) & (orders == n))
+            if len(own):
+                columns = {c: table[c].to_numpy()[own].view(np.uint64) for c in ("gram", "context", "inner")}
+                columns["count"] = table["count"].to_numpy()[own]
+                order = np.argsort(columns["gram"])
+                counts[name][n] = {c: v[order] for c, v in columns.items()}
+    return fit(counts, single)
+
+
+def learn(
+    docs: DataFrame,
+    text: str = "text",
+    lang: str = "lang",
+    key: str = "doc_id",
+    rows: int = ROWS_PER_LANGUAGE,
+    letters_per_language: int = LETTERS_PER_LANGUAGE,
+    cells: int = CELLS,
+) -> Model:
+    """A model of the labelled rows; ``key`` only makes the choice of the sample one of rows, not of texts."""
+    labelled = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(key).alias("key"))
+    sample = cut(_sample(labelled.where("lang is not null and text is not null"), rows, letters_per_language))
+    counted = cut(_counts(sample.where("not calibrating").select("lang", "text")))
+    letters_ = counted.where("n = 1").select("gram").distinct().toArrow()["gram"]  # no more than there are letters
+    single = np.sort(letters_.to_numpy().view(np.uint64))
+    model = Model([_block(counted, names, single) for names in _blocks(counted, cells)])
+    if model.blocks:
+        _calibrate(model, sample.where("calibrating").select("lang", "text"))
     return model
 
 
-def _entropies(texts: DataFrame, model: Model) -> DataFrame:
-    shared = texts.sparkSession.sparkContext.broadcast(model)
+def _calibrate(model: Model, held: DataFrame) -> None:
+    """Limits of cross-entropy by language, and the sharpness under which the scores fit best, from rows not counted."""
+    scored = cut(_compared(held.select(F.struct(F.col("lang").alias("truth")).alias("row"), "text"), model, SHARPNESS, "truth").where("n_letters > 0 and own is not null"))
+    quantiles = F.percentile("own", F.array(F.lit(0.5), F.lit(0.99))).alias("q")
+    judged = scored.where("n_letters >= 20")
+    overall = judged.agg(quantiles).first()["q"] or [2.0, 3.0]
+    of = {r["truth"]: r["q"] for r in judged.groupBy(F.col("row.truth").alias("truth")).agg(quantiles).collect()}
+    for block in model.blocks:
+        middle, high = np.asarray([of.get(name) or overall for name in block.languages]).T
+        block.mean, block.spread = middle, np.maximum(0.05, (high - middle) / 2.33)
+    losses = []
+    for k, sharpness in enumerate(SHARPNESS.tolist()):
+        gap = F.least((F.col("own") - F.col("lowest")) * sharpness * F.sqrt("n_letters"), F.lit(300.0))
+        chance = F.pow(F.lit(10.0), -gap) / F.col("sums")[k]
+        losses.append(F.avg(-F.log(F.greatest(chance, F.lit(1e-12)))).alias(f"loss{k}"))
+    loss = list(scored.agg(*losses).first())
+    model.sharpness = 1.0 if loss[0] is None else float(SHARPNESS[int(np.argmin(loss))])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at, data, edges in slices(batch.column(1)):
-                entropy, n_letters = shared.value.entropies(data, edges)
-                lang = batch.column(2).slice(at, len(edges) - 1)
-                yield pa.record_batch(
-                    [lang, pa.array(list(entropy), pa.list_(pa.float64())), pa.array(n_letters)], ["lang", "entropy", "n_letters"]
-                )
 
-    return texts.mapInArrow(run, "lang string, entropy array<double>, n_letters bigint")
+_STATE = "best string, lowest double, far boolean, n_letters bigint, own double, sums array<double>"
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` with ``lang_pred``, ``score``, ``cross_entropy`` and ``rejected`` added, replacing such columns.
+def _compared(rows: DataFrame, model: Model, sharpness: np.ndarray, truth: str | None = None) -> DataFrame:
+    """``row`` and ``text`` with the best language, its cross-entropy and whether it is far, after all blocks.
 
-    Of the columns only the text goes to Python with the rows' others passed through unseen.
+    ``sums`` adds up, for each sharpness, the chances of all languages over that of the best;
+    ``own`` is the cross-entropy in the language that field ``truth`` of the row names.
     """
-    added = ["lang_pred", "score", "cross_entropy", "rejected"]
-    docs = docs.drop(*added)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns
-    at_text = names.index(text)
+    names = [part.strip().split(" ")[0] for part in _STATE.split(",")]
+    kinds = T._parse_datatype_string(_STATE)
+    frame = rows.select("row", "text", *(F.lit(None).cast(f.dataType).alias(f.name) for f in kinds.fields))
+    schema = T.StructType([*rows.select("row", "text").schema.fields, *kinds.fields])
+    for block in model.blocks:
+        frame = frame.mapInArrow(_through(rows.sparkSession.sparkContext.broadcast(block), sharpness, truth, names), schema)
+    return frame
+
 
+def _through(shared, sharpness: np.ndarray, truth: str | None, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = shared.value
-        languages = pa.array([*held.languages, UNKNOWN])
+        block = shared.value
+        languages = np.asarray(block.languages, object)
         for batch in batches:
-            for at, data, edges in slices(batch.column(at_text)):
-                n = len(edges) - 1
-                entropy, n_letters = held.entropies(data, edges)
-                best, score, rejected = held.decide(entropy, n_letters)
-                lowest = entropy.min(axis=1) if held.languages else np.zeros(n)
-                pred = languages.take(pa.array(np.where(best < 0, len(held.languages), best)))
-                lowest = pa.array(lowest, mask=best < 0)
-                yield pa.record_batch(
-                    [*batch.slice(at, n).columns, pred, pa.array(score), lowest, pa.array(rejected)], [*names, *added]
-                )
-
-    from pyspark.sql import types as T
-
-    kinds = [T.StringType(), T.DoubleType(), T.DoubleType(), T.BooleanType()]
-    schema = T.StructType([*docs.schema.fields, *(T.StructField(a, k) for a, k in zip(added, kinds, strict=True))])
-    return docs.mapInArrow(run, schema)
+            for at, data, edges in slices(batch.column("text")):
+                part = batch.slice(at, len(edges) - 1)
+                entropy, n_letters = block.entropies(data, edges)
+                n = len(entropy)
+                here = np.argmin(entropy, axis=1)
+                low = entropy[np.arange(n), here]
+                before = part.column("lowest").to_numpy(zero_copy_only=False).astype(float)
+                lowest = np.fmin(before, low)
+                scale = sharpness[None, :] * np.sqrt(np.maximum(n_letters, 1))[:, None]
+                held = part.column("sums")
+                sums_ = np.zeros((n, len(sharpness)))
+                if n and held.null_count < n:
+                    sums_ = held.flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+                    sums_ = sums_ * 10.0 ** -np.minimum((before - lowest)[:, None] * scale, 300.0)
+                for k in range(len(languages)):
+                    sums_ = sums_ + 10.0 ** -np.minimum((entropy[:, k] - lowest)[:, None] * scale, 300.0)
+                better = np.isnan(before) | (low < before)
+                far = np.zeros(n, bool)
+                if block.mean is not None:
+                    room = MARGIN * block.spread[here] * np.maximum(1.0, np.sqrt(100.0 / np.maximum(n_letters, 1)))
+                    far = low > block.mean[here] + room
+                best = pc.if_else(pa.array(better), pa.array(languages[here], pa.string()), part.column("best"))
+                far = pc.if_else(pa.array(better), pa.array(far), part.column("far"))
+                own = part.column("own").to_numpy(zero_copy_only=False).astype(float)
+                if truth:
+                    place = {name: k for k, name in enumerate(block.languages)}
+                    mine = np.asarray([place.get(x, -1) for x in part.column("row").field(truth).to_pylist()], int)
+                    own = np.where(mine >= 0, entropy[np.arange(n), mine], own)
+                state = {
+                    "best": best,
+                    "lowest": pa.array(lowest),
+                    "far": far,
+                    "n_letters": pa.array(n_letters),
+                    "own": pa.array(own, mask=np.isnan(own)),
+                    "sums": pa.array(list(sums_), pa.list_(pa.float64())),
+                }
+                yield pa.record_batch([part.column("row"), part.column("text"), *(state[x] for x in names)], ["row", "text", *names])
+
+    return run
+
+
+def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` with ``lang_pred``, ``score``, ``cross_entropy`` and ``rejected`` added, replacing such columns."""
+    docs = docs.drop("lang_pred", "score", "cross_entropy", "rejected")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"))
+    found = _compared(rows, model, np.asarray([model.sharpness]))
+    known = F.coalesce(F.col("n_letters") > 0, F.lit(False))
+    return found.select(
+        "row.*",
+        F.when(known, F.col("best")).otherwise(UNKNOWN).alias("lang_pred"),
+        F.when(known, 1.0 / F.col("sums")[0]).otherwise(0.0).alias("score"),
+        F.when(known, F.col("lowest")).alias("cross_entropy"),
+        (~known | F.coalesce("far", F.lit(True))).alias("rejected"),
+    )
 
 
 def held_out(doc_id: str | Column, parts: int) -> Column:

@@ -250,7 +250,11 @@ def repair(
                 yield made(held, known.get((part, 0)) if place == 0 else None)
                 place += 1
                 held = []
-            held = [conv, *more] if not held else [conv, *(a + b for a, b in zip(held[1:], more, strict=True))]
+            if not held:
+                held = [conv, *map(list, more)]
+            else:  # a long conversation comes in many batches: added to, never copied
+                for whole, part_ in zip(held[1:], more, strict=True):
+                    whole.extend(part_)
         if held:
             yield made(held, known.get((part, min(place, 1))))
 

@@ -36,6 +36,8 @@ SHINGLE = 4
 #: Largest bucket that one task compares.
 MOST = 4096
 LEVELS = 4
+#: Rows of two numbers up to which they are sent to all tasks.
+SENT = 300_000
 
 
 def shingle_hashes(text: bytes, size: int) -> list[int]:
@@ -99,26 +101,17 @@ def masks(radius: int = RADIUS, turn: int = 0) -> list[int]:
     return out
 
 
-def forest(values: np.ndarray, radius: int, block: int = 1024) -> list[tuple[int, int]]:
+def forest(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """Links that connect what the links of at most ``radius`` bits connect, one fewer than members at most."""
-    parent = list(range(len(values)))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
+    component = np.arange(len(values))
     links = []
-    for a in range(0, len(values), block):
-        left = values[a : a + block]
-        for b in range(a, len(values), block):
-            near = np.bitwise_count(left[:, None] ^ values[None, b : b + block]) <= radius
-            for i, j in zip(*np.nonzero(np.triu(near, 1) if a == b else near), strict=True):
-                p, q = root(a + int(i)), root(b + int(j))
-                if p != q:
-                    parent[max(p, q)] = min(p, q)
-                    links.append((a + int(i), b + int(j)))
+    for i in range(len(values) - 1):
+        near = i + 1 + np.flatnonzero(np.bitwise_count(values[i + 1 :] ^ values[i]) <= radius)
+        apart = near[component[near] != component[i]]
+        if len(apart):
+            others, first = np.unique(component[apart], return_index=True)
+            links += [(i, int(j)) for j in apart[first]]
+            component[np.isin(component, others)] = component[i]
     return links
 
 
@@ -183,9 +176,14 @@ def near_duplicates(
     prints = cut(fingerprints(docs, doc_id, text, shingle))
     distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     labels = components(cut(links(distinct, radius, most)))
-    joined = distinct.join(labels, distinct.fp == labels.node, "left").select(
-        "fp", "least", F.coalesce("label", "fp").alias("label")
-    )
-    smallest = joined.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_print = joined.join(smallest, "label").select("fp", "component_id")
-    return prints.join(of_print, "fp").select("doc_id", "fp", "component_id")
+    # Most prints are linked to none and their own component; of the others a task adds up its minima first.
+    linked = cut(labels.select(F.col("node").alias("fp"), "label").join(distinct, "fp"))
+    smallest = linked.groupBy("label").agg(F.min("least").alias("component_id"))
+    of_linked = linked.join(_sent(smallest), "label").select("fp", "component_id")
+    of_print = distinct.join(of_linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
+    return prints.join(_sent(cut(of_print)), "fp").select("doc_id", "fp", "component_id")
+
+
+def _sent(rows: DataFrame) -> DataFrame:
+    """The rows, marked to be sent to all tasks where they are few: then no task gets all rows of one key."""
+    return F.broadcast(rows) if rows.count() <= SENT else rows

@@ -172,49 +172,72 @@ def _vector(words: list[str], idf: dict[str, float]) -> dict[str, float]:
     return {t: v / norm for t, v in raw.items()}
 
 
-def _map(values: dict[str, float]) -> Column:
-    return F.create_map(*(x for t, v in sorted(values.items()) for x in (F.lit(t), F.lit(v))))
+#: The templates one after another: licence, text, whether it is a licence file's.
+OPTIONS = [(name, text, text in FILES.get(name, [])) for name, texts in TEMPLATES.items() for text in texts]
+
+
+def most_words(idf: dict[str, float]) -> int:
+    """Distinct words beyond which no statement can be like a template.
+
+    Every word that a template lacks adds one to the square of the statement's length, so a
+    statement of all of a template and m other words has a cosine of at most sqrt(T / (T + m)).
+    """
+    squares = max(sum((c * idf[t]) ** 2 for t, c in Counter(terms(text)).items()) for _, text, _ in OPTIONS)
+    return len(vocabulary()) + math.ceil(squares * (1 / LIKE**2 - 1))
 
 
 def _best(statement: Column, idf: dict[str, float]) -> Column:
     """The likest template of a statement: ``like``, ``licence``, ``of_file``, how like the ``next`` licence is, ``words``."""
-    found = _terms(statement)
-    distinct = F.array_distinct(found)
-    weigh = _map({t: v for t, v in idf.items() if t})
-
-    def weight(term: Column) -> Column:
-        times = F.size(F.filter(found, lambda x: x == term))
-        return times * F.coalesce(F.try_element_at(weigh, term), F.lit(idf[""]))
-
-    vector = F.transform(distinct, lambda t: F.struct(t.alias("t"), weight(t).cast("double").alias("w")))
-    total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)
-
-    def shared(template: Column):
-        return lambda x: x["w"] * F.coalesce(F.try_element_at(template, x["t"]), F.lit(0.0))
-
-    def scored(held: Column) -> Column:
-        norm = F.sqrt(total(F.transform(held, lambda x: x["w"] * x["w"])))
-        options = []
-        for licence, statements in TEMPLATES.items():
-            for text in statements:
-                dot = total(F.transform(held, shared(_map(_vector(terms(text), idf)))))
-                of_file = F.lit(text in FILES.get(licence, []))
-                options.append(F.struct(F.round(dot / norm, 6).alias("like"), F.lit(licence).alias("licence"), of_file.alias("of_file")))
-        nothing = F.struct(F.lit(0.0).alias("like"), F.lit(NONE).alias("licence"), F.lit(False).alias("of_file"), F.lit(0.0).alias("next"))
-
-        def better(held: Column, x: Column) -> Column:
-            """The first of the likest, as names are in order, and how like the likest of other licences is."""
-            last = F.when(held["licence"] == x["licence"], held["next"]).otherwise(held["like"])
-            new = F.struct(x["like"].alias("like"), x["licence"].alias("licence"), x["of_file"].alias("of_file"), last.alias("next"))
-            other = F.when(held["licence"] == x["licence"], held["next"]).otherwise(F.greatest(held["next"], x["like"]))
-            old = F.struct(held["like"].alias("like"), held["licence"].alias("licence"), held["of_file"].alias("of_file"), other.alias("next"))
-            return F.when(x["like"] > held["like"], new).otherwise(old)
-
-        return F.aggregate(F.array(*options), nothing, better)
-
-    # Bound once: the terms are not taken apart again for each template.
-    best = F.element_at(F.transform(F.array(vector), scored), 1)
-    return F.struct(*(best[name].alias(name) for name in ("like", "licence", "of_file", "next")), F.size(found).alias("words"))
+    vectors = [_vector(terms(text), idf) for _, text, _ in OPTIONS]
+    entries = []
+    for term in vocabulary():
+        # One literal, folded to an array of constants.
+        shares = F.split(F.lit(",".join(repr(v.get(term, 0.0)) for v in vectors)), ",").cast("array<double>")
+        entries += [F.lit(term), F.struct(F.lit(idf[term]).alias("idf"), shares.alias("shares"))]
+    table = F.create_map(*entries)
+    named = F.array(*(F.struct(F.lit(name).alias("licence"), F.lit(of_file).alias("of_file")) for name, _, of_file in OPTIONS))
+    nothing = F.struct(F.lit(0.0).alias("like"), F.lit(NONE).alias("licence"), F.lit(False).alias("of_file"), F.lit(0.0).alias("next"))
+
+    def better(held: Column, x: Column) -> Column:
+        """The first of the likest, as names are in order, and how like the likest of other licences is."""
+        last = F.when(held["licence"] == x["licence"], held["next"]).otherwise(held["like"])
+        new = F.struct(x["like"].alias("like"), x["licence"].alias("licence"), x["of_file"].alias("of_file"), last.alias("next"))
+        other = F.when(held["licence"] == x["licence"], held["next"]).otherwise(F.greatest(held["next"], x["like"]))
+        old = F.struct(held["like"].alias("like"), held["licence"].alias("licence"), held["of_file"].alias("of_file"), other.alias("next"))
+        return F.when(x["like"] > held["like"], new).otherwise(old)
+
+    def scored(found: Column) -> Column:
+        # In steps, each bound once: the entry of each word, its weight, the products with all templates.
+        known = F.transform(F.array_distinct(found), lambda t: F.struct(t.alias("t"), F.try_element_at(table, t).alias("e")))
+
+        def weigh(x: Column) -> Column:
+            times = F.size(F.filter(found, lambda y: y == x["t"]))
+            return F.struct((times * F.coalesce(x["e"]["idf"], F.lit(idf[""]))).cast("double").alias("w"), x["e"]["shares"].alias("shares"))
+
+        start = F.struct(F.array_repeat(F.lit(0.0), F.lit(len(OPTIONS))).alias("dots"), F.lit(0.0).alias("square"))
+
+        def add(held: Column, x: Column) -> Column:
+            moved = F.zip_with(held["dots"], x["shares"], lambda d, v: d + v * x["w"])
+            return F.struct(F.when(x["shares"].isNull(), held["dots"]).otherwise(moved).alias("dots"), (held["square"] + x["w"] * x["w"]).alias("square"))
+
+        def options(held: Column) -> Column:
+            return F.transform(F.array(F.struct(held["dots"].alias("dots"), F.sqrt(held["square"]).alias("norm"))), likes)[0]
+
+        def likes(held: Column) -> Column:
+            every = F.zip_with(
+                held["dots"],
+                named,
+                lambda dot, n: F.struct(F.round(dot / held["norm"], 6).alias("like"), n["licence"].alias("licence"), n["of_file"].alias("of_file")),
+            )
+            return F.aggregate(every, nothing, better)
+
+        best = F.aggregate(F.transform(known, weigh), start, add, options)
+        return F.when(F.size(F.array_distinct(found)) <= most_words(idf), best).otherwise(nothing)
+
+    words = F.transform(F.array(_terms(statement)), lambda found: F.struct(scored(found).alias("best"), F.size(found).alias("words")))[0]
+    return F.transform(
+        F.array(words), lambda x: F.struct(*(x["best"][name].alias(name) for name in ("like", "licence", "of_file", "next")), x["words"].alias("words"))
+    )[0]
 
 
 def _statements(text: Column) -> Column:

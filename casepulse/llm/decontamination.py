@@ -119,14 +119,15 @@ def _row_results(words: Words, hits: Iterable[tuple[int, int, Iterable[str | Non
     return counts.tolist(), n_hit.tolist(), listed
 
 
-def _by_broadcast(docs: DataFrame, benchmark: Benchmark, kind: str) -> DataFrame:
+def _by_broadcast(docs: DataFrame, benchmark: Benchmark, kind: str, field: str | None = None) -> DataFrame:
+    """Results by ``doc_id``; texts are its field ``field``, if given, so that they go through once."""
     shared = docs.sparkSession.sparkContext.broadcast(benchmark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
         for batch in batches:
             out: tuple[list, list, list] = ([], [], [])
-            for _, data, edges in slices(batch.column(1)):
+            for _, data, edges in slices(batch.column(0).field(field) if field else batch.column(1)):
                 words = split(data, edges, PUNCTUATED)
                 found = ((i, n, held.items[text]) for i, n, text in held.hits(words) if text in held.items)
                 for kept, more in zip(out, _row_results(words, found), strict=True):
@@ -137,7 +138,7 @@ def _by_broadcast(docs: DataFrame, benchmark: Benchmark, kind: str) -> DataFrame
                 ["doc_id", "n_words", "n_hit", "items"],
             )
 
-    return docs.mapInArrow(run, f"doc_id {kind}, {SCHEMA}")
+    return (docs.select("doc_id") if field else docs).mapInArrow(run, f"doc_id {kind}, {SCHEMA}")
 
 
 def _prints(frame: DataFrame, sizes: list[int], window: int, gram: int) -> DataFrame:
@@ -254,15 +255,17 @@ def contamination(
 ) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_hit``, ``items`` (ids as sorted strings) and ``contaminated``, a row for each row.
 
-    A document is contaminated if at least a twentieth of its words is hit.
+    A document is contaminated if at least a twentieth of its words is hit. ``doc_id`` may be a
+    struct and ``text`` a field of it, as ``row.text``.
     """
+    field = text.removeprefix(f"{doc_id}.") if text.startswith(f"{doc_id}.") else None
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     items = items.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text"))
     # No word is shorter than a byte, nor two words closer than a byte apart.
     size = items.agg(F.sum((F.octet_length("text") + 1) / 2)).first()[0] or 0
     if size <= broadcast_words:
         held = Benchmark(((row["item_id"], row["text"]) for row in items.collect()), window, gram)
-        result = _by_broadcast(docs, held, docs.schema["doc_id"].dataType.simpleString())
+        result = _by_broadcast(docs, held, docs.schema["doc_id"].dataType.simpleString(), field)
     else:
         result = _by_join(docs, items, list(range(1, window + 1)), window, gram)
     return result.withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))
@@ -270,6 +273,6 @@ def contamination(
 
 def clean(docs: DataFrame, items: DataFrame, **options: object) -> DataFrame:
     """The rows of ``docs``, with all columns, that are not contaminated."""
-    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(options.get("text", "text")).alias("text"))
-    found = contamination(whole, items, **options | {"doc_id": "row", "text": "text"})
+    whole = docs.select(F.struct(*docs.columns).alias("row"))
+    found = contamination(whole, items, **options | {"doc_id": "row", "text": f"row.{options.get('text', 'text')}"})
     return found.where("not contaminated").select("doc_id.*")

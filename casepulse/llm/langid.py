@@ -366,7 +366,7 @@ def learn(
 
 def _calibrate(model: Model, held: DataFrame) -> None:
     """Limits of cross-entropy by language, and the sharpness under which the scores fit best, from rows not counted."""
-    scored = cut(_compared(held.select(F.struct(F.col("lang").alias("truth")).alias("row"), "text"), model, SHARPNESS, "truth").where("n_letters > 0 and own is not null"))
+    scored = cut(_compared(held.select(F.struct(F.col("lang").alias("truth"), "text").alias("row")), model, SHARPNESS, "text", "truth").where("n_letters > 0 and own is not null").withColumn("row", F.struct("row.truth")))
     quantiles = F.percentile("own", F.array(F.lit(0.5), F.lit(0.99))).alias("q")
     judged = scored.where("n_letters >= 20")
     overall = judged.agg(quantiles).first()["q"] or [2.0, 3.0]
@@ -386,27 +386,30 @@ def _calibrate(model: Model, held: DataFrame) -> None:
 _STATE = "best string, lowest double, far boolean, n_letters bigint, own double, sums array<double>"
 
 
-def _compared(rows: DataFrame, model: Model, sharpness: np.ndarray, truth: str | None = None) -> DataFrame:
-    """``row`` and ``text`` with the best language, its cross-entropy and whether it is far, after all blocks.
+def _compared(rows: DataFrame, model: Model, sharpness: np.ndarray, text: str = "text", truth: str | None = None) -> DataFrame:
+    """``row`` with the best language of its field ``text``, its cross-entropy and whether it is far, after all blocks.
 
     ``sums`` adds up, for each sharpness, the chances of all languages over that of the best;
     ``own`` is the cross-entropy in the language that field ``truth`` of the row names.
     """
     names = [part.strip().split(" ")[0] for part in _STATE.split(",")]
     kinds = T._parse_datatype_string(_STATE)
-    frame = rows.select("row", "text", *(F.lit(None).cast(f.dataType).alias(f.name) for f in kinds.fields))
-    schema = T.StructType([*rows.select("row", "text").schema.fields, *kinds.fields])
+    frame = rows.select("row", *(F.lit(None).cast(f.dataType).alias(f.name) for f in kinds.fields))
+    schema = T.StructType([*rows.select("row").schema.fields, *kinds.fields])
     for block in model.blocks:
-        frame = frame.mapInArrow(_through(rows.sparkSession.sparkContext.broadcast(block), sharpness, truth, names), schema)
+        frame = frame.mapInArrow(_through(rows.sparkSession.sparkContext.broadcast(block), sharpness, text, truth, names), schema)
     return frame
 
 
-def _through(shared, sharpness: np.ndarray, truth: str | None, names: list[str]):
+def _through(shared, sharpness: np.ndarray, text: str, truth: str | None, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shared.value
         languages = np.asarray(block.languages, object)
         for batch in batches:
-            for at, data, edges in slices(batch.column("text")):
+            texts = batch.column("row")
+            for name in text.split("."):
+                texts = texts.field(name)
+            for at, data, edges in slices(texts):
                 part = batch.slice(at, len(edges) - 1)
                 entropy, n_letters = block.entropies(data, edges)
                 n = len(entropy)
@@ -442,16 +445,19 @@ def _through(shared, sharpness: np.ndarray, truth: str | None, names: list[str])
                     "own": pa.array(own, mask=np.isnan(own)),
                     "sums": pa.array(list(sums_), pa.list_(pa.float64())),
                 }
-                yield pa.record_batch([part.column("row"), part.column("text"), *(state[x] for x in names)], ["row", "text", *names])
+                yield pa.record_batch([part.column("row"), *(state[x] for x in names)], ["row", *names])
 
     return run
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` with ``lang_pred``, ``score``, ``cross_entropy`` and ``rejected`` added, replacing such columns."""
+    """The rows of ``docs`` with ``lang_pred``, ``score``, ``cross_entropy`` and ``rejected`` added, replacing such columns.
+
+    ``text`` names a column, or a field of a struct with its path in dots.
+    """
     docs = docs.drop("lang_pred", "score", "cross_entropy", "rejected")
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"))
-    found = _compared(rows, model, np.asarray([model.sharpness]))
+    rows = docs.select(F.struct(*docs.columns).alias("row"))  # the text goes through once, within its row
+    found = _compared(rows, model, np.asarray([model.sharpness]), text)
     known = F.coalesce(F.col("n_letters") > 0, F.lit(False))
     return found.select(
         "row.*",

@@ -13,11 +13,12 @@ text.
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,19 +51,27 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        special = set(self.tokenizer.get_added_tokens_decoder())
+        self.path = path
+        with open(path, encoding="utf-8") as file:
+            held = json.load(file)
+        special = {token["id"] for token in held.get("added_tokens") or []}
         # Printable characters stand for their own bytes, the next code points for the others.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = (b for b in range(256) if b not in plain)
         byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        ranks = {bytes(map(byte_of.__getitem__, t)): i for t, i in vocabulary.items() if i not in special}
+        ranks = {bytes(map(byte_of.__getitem__, t)): i for t, i in held["model"]["vocab"].items() if i not in special}
         self.merge = tiktoken.Encoding("file", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @cached_property
+    def tokenizer(self):
+        """Read when a text first needs it: it takes more memory than the merges."""
+        from tokenizers import Tokenizer
+
+        found = Tokenizer.from_file(self.path)
+        found.encode_special_tokens = True
+        return found
+
     def encode(self, text: str) -> bytes:
         if self.PLAIN.fullmatch(text):
             ids = self.merge.encode_ordinary(text)

@@ -46,6 +46,8 @@ BLOCK = 64
 ROUNDS = 2
 RATE = 0.15
 BATCH = 1 << 14
+#: Tokens of a row that are added up side by side with those of all other rows.
+SHORT = 16
 #: Distinct words a counting task gathers before it passes them on.
 GATHERED = 1 << 21
 SMOOTH = 0.1
@@ -124,14 +126,17 @@ class Model:
         return at, rank, classes, self.features(t, rank)
 
     def class_logits(self, features: np.ndarray) -> np.ndarray:
-        out = self.class_rows[features[:, 0]]
+        out = self.class_rows.take(features[:, 0], axis=0)
         for j in range(1, features.shape[1]):
-            out += self.class_rows[features[:, j]]
+            out += self.class_rows.take(features[:, j], axis=0)
         out += self.class_bias
         return out
 
     def word_logits(self, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        return self.word_rows[rows[:, 0]] + self.word_rows[rows[:, 1]] + self.word_bias[classes]
+        out = self.word_rows.take(rows[:, 0], axis=0)
+        out += self.word_rows.take(rows[:, 1], axis=0)
+        out += self.word_bias.take(classes, axis=0)
+        return out
 
     def log_probabilities(self, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
         """Natural logarithms for each token, without the count of words not at hand; and those words' places."""
@@ -174,21 +179,40 @@ def _error(logits: np.ndarray, truth: np.ndarray) -> np.ndarray:
     """Softmax less the truth: the gradient of the loss by the logits."""
     logits -= logits.max(axis=1)[:, None]
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1)[:, None]
+    logits /= (logits @ np.ones(logits.shape[1], logits.dtype))[:, None]
     logits[np.arange(len(truth)), truth] -= 1.0
     return logits
 
 
+def _totals(error: np.ndarray, order: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Sums of the rows of ``error`` by groups of ``order``: most are short, so all first rows are taken at once, then all second ones."""
+    total = error.take(order[begins], axis=0)
+    for k in range(1, SHORT):
+        longer = np.flatnonzero(lengths > k)
+        if not len(longer):
+            return total
+        total[longer] += error.take(order[begins[longer] + k], axis=0)
+    longer = np.flatnonzero(lengths > SHORT)
+    if len(longer):
+        left = lengths[longer] - SHORT
+        first = np.cumsum(left) - left
+        rest = np.arange(left.sum()) + np.repeat(begins[longer] + SHORT - first, left)
+        total[longer] += np.add.reduceat(error.take(order[rest], axis=0), first, axis=0)
+    return total
+
+
 def _descend(table: np.ndarray, squares: np.ndarray, rows: np.ndarray, error: np.ndarray) -> None:
     """One step of the rows in use, each by the root of the squares it has met."""
     for j in range(rows.shape[1]):
-        order = np.argsort(rows[:, j], kind="stable")
-        sorted_ = rows[order, j]
+        short = rows[:, j].astype(np.min_scalar_type(ROWS - 1))  # numbers of 16 bits are sorted by their digits
+        order = np.argsort(short, kind="stable")
+        sorted_ = short[order]
         begins = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-        used = sorted_[begins]
-        gradient = np.add.reduceat(error[order], begins, axis=0)
+        used = sorted_[begins].astype(np.int64)
+        gradient = _totals(error, order, begins, np.diff(begins, append=len(order)))
         squares[used] += np.einsum("ij,ij->i", gradient, gradient)
-        table[used] -= (RATE / np.sqrt(squares[used] + 1e-6))[:, None] * gradient
+        gradient *= (RATE / np.sqrt(squares[used] + 1e-6)).astype(gradient.dtype)[:, None]
+        table[used] -= gradient
 
 
 def _count(docs: DataFrame) -> DataFrame:
